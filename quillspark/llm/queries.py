@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sentences, spans, truncation
+from . import confusables, leakage, packing, sentences, spans, splitting, truncation
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,5 +44,65 @@ def p3_shares(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_share(_table(spark, folder, "epub"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_lengths, p2_found, p2_shares, p3_found, p3_shares)}
-ORACLE_SQL: dict[str, str] = {}
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that were split, from their pieces."""
+    return splitting.pieces(_table(spark, folder, "epub")).where("piece = 0").select("row_id")
+
+
+def p4_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return splitting.pieces(_table(spark, folder, "epub"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that were divided, from the packing."""
+    packed = packing.pack(_table(spark, folder, "documents"), "doc_id", packing.byt5_tokens(F.col("text")))
+    return packed.where("part = 1").select("doc_id")
+
+
+def p5_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), "doc_id", packing.byt5_tokens(F.col("text")))
+
+
+def p5_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How full containers of several permitted capacities get, each shrunk to its contents."""
+    packed = packing.pack(_table(spark, folder, "documents"), "doc_id", packing.byt5_tokens(F.col("text")), (512, 1024, 2048, 4096))
+    return packing.fill(packed)
+
+
+def p5_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "documents").select("doc_id", packing.byt5_tokens(F.col("text")).cast("bigint").alias("tokens"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def p6_items(spark: SparkSession, folder: str) -> DataFrame:
+    """For every evaluation item, the number of documents it leaked into."""
+    found = p6_found(spark, folder).groupBy("item_id").agg(F.count("*").alias("documents"))
+    items = _table(spark, folder, "benchmark").select("item_id", "suite")
+    return items.join(found, "item_id", "left").select("item_id", "suite", F.coalesce("documents", F.lit(0)).alias("documents"))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = confusables.same_look_pairs(_table(spark, folder, "documents"))
+    return pairs.select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+
+
+def p7_forms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return confusables.same_look(docs).select("doc_id", "form", (F.col("form") != F.col("text")).alias("changed"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        p1_found, p1_lengths, p2_found, p2_shares, p3_found, p3_shares, p4_found, p4_pieces,
+        p5_found, p5_containers, p5_fill, p5_sizes, p6_found, p6_items, p7_found, p7_forms,
+    )
+}
+ORACLE_SQL: dict[str, str] = {
+    "p4_found": "SELECT row_id FROM epub WHERE length(text) > 8000",
+    "p5_found": "SELECT doc_id FROM documents WHERE strlen(text) + 1 > 4096",
+    "p5_sizes": "SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS tokens FROM documents",
+}
