@@ -1,4 +1,6 @@
 """Queries of the general operators, and the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import blocks, chunks, text  # noqa: F401
+from ._base import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
