@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import cut
 from .sentences import sentence_spans
 
 _MULTIPLIER, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -55,11 +56,9 @@ def winnowed(codes: np.ndarray, gram: int, span: int) -> tuple[np.ndarray, np.nd
     if width < n:
         least = np.minimum(least[: len(least) - (n - width)], least[n - width :])
     # least[i] is the minimum of h[i : i + n]; every position that has it is chosen, so ties are chosen alike in both texts
-    floor = np.full(len(h), np.iinfo(np.uint64).max, np.uint64)
     chosen = np.zeros(len(h), bool)
     starts = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
     ends = np.r_[starts[1:], len(least)]
-    del floor
     for s, e in zip(starts, ends):  # one step per change of the minimum, about one in n / 2 positions
         block = h[s : e + n - 1]
         chosen[s + np.flatnonzero(block == least[s])] = True
@@ -105,44 +104,69 @@ def _common_runs(a: pd.Series, at_a: pd.Series, b: pd.Series, at_b: pd.Series) -
     return pd.Series([_common_run(*row) for row in zip(a, at_a, b, at_b)], dtype="int32")
 
 
+def _class_prints(rows: DataFrame, gram: int, span: int) -> DataFrame:
+    """(cls, tag, hash) of the selected windows of each text (cls, part, text); ``tag`` is ``part`` and the position.
+
+    A text that a task has met already is passed over, so copies of one text give windows once for each task.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            cls, tags, hashes = [], [], []
+            for c, part, text in zip(batch["cls"], batch["part"], batch["text"]):
+                if (c, part) in seen:
+                    continue
+                seen.add((c, part))
+                p, h = winnowed(_codes(text), gram, span)
+                cls.append(np.full(len(p), c, np.int64))
+                tags.append((np.int64(part) << np.int64(32)) | p.astype(np.int64))
+                hashes.append(h)
+            if cls:
+                yield pd.DataFrame({"cls": np.concatenate(cls), "tag": np.concatenate(tags), "hash": np.concatenate(hashes).view(np.int64)})
+
+    return rows.mapInPandas(run, "cls bigint, tag bigint, hash bigint")
+
+
 def shared_pairs(df: DataFrame, key_col: str = "chunk_id", text_col: str = "text", min_chars: int = 200, gram: int = 64) -> DataFrame:
     """(a, b), a < b: the pairs of different keys that have a row each with an identical run of ``min_chars`` characters.
 
-    Identical texts are one class, known by two hashes of the text: windows are made, joined and compared for classes,
-    and only the pairs of classes are expanded to keys at the end. A window met in many classes is split over the tasks
-    by adaptive skew handling, since it is an ordinary sort-merge join on the hash.
+    Identical texts are one class, known by 96 bits of hashes of the text: windows are made, joined and compared for
+    classes, and only the pairs of classes are expanded to keys at the end. Texts aren't shuffled for the windows; the
+    self-join on the window hash is an ordinary sort-merge join of three numbers a row, made from one exchange, whose
+    hot hashes adaptive execution splits. Only texts of classes that met are fetched for the comparison.
     """
     rows = df.where(F.col(key_col).isNotNull() & (F.length(text_col) >= min_chars)).select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
-    hashed = rows.withColumn("cls", F.concat(F.hex(F.xxhash64("text")), F.hex(F.crc32("text")), F.length("text")))
-    classes = hashed.groupBy("cls").agg(F.first("text").alias("text"))
-    members = hashed.select("cls", "key").distinct()
-    prints = fingerprints(classes, "cls", "text", gram, min_chars)
-    # Windows that one class holds alone can meet nothing; the rest is a small part.
-    met = prints.groupBy("hash").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("hash")
-    several = prints.join(met, "hash", "left_semi")
-    # Where runs lie on one diagonal window by window, one meeting in each stretch of min_chars is enough to find the run.
-    meetings = (
-        several.alias("x")
-        .join(several.alias("y"), "hash")
-        .where("x.id < y.id")
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.pos").alias("pa"), F.col("y.pos").alias("pb"))
-        .groupBy("a", "b", (F.col("pa") - F.col("pb")).alias("diagonal"), F.floor(F.col("pa") / (min_chars // 2)).alias("part"))
+    hashed = rows.select("key", F.xxhash64("text").alias("cls"), F.hash("text").alias("part"), "text")
+    prints = _class_prints(hashed.select("cls", "part", "text"), gram, min_chars)
+    name = lambda cls, part: F.concat(F.hex(cls), F.lit("-"), F.hex(part.cast("bigint")))
+    at = lambda tag: F.col(tag).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    part = lambda tag: F.shiftright(F.col(tag), 32).cast("int")
+    # Where runs lie on one diagonal window by window, one meeting in each stretch of half min_chars finds the run.
+    meetings = cut(
+        prints.alias("x")
+        .join(prints.alias("y"), "hash")
+        .where(F.struct("x.cls", part("x.tag")) < F.struct("y.cls", part("y.tag")))
+        .select(F.col("x.cls").alias("ca"), part("x.tag").alias("da"), at("x.tag").alias("pa"), F.col("y.cls").alias("cb"), part("y.tag").alias("db"), at("y.tag").alias("pb"))
+        .groupBy("ca", "da", "cb", "db", (F.col("pa") - F.col("pb")).alias("diagonal"), F.floor(F.col("pa") / (min_chars // 2)).alias("stretch"))
         .agg(F.min("pa").alias("pa"))
-        .select("a", "b", "pa", (F.col("pa") - F.col("diagonal")).alias("pb"))
+        .select(name(F.col("ca"), F.col("da")).alias("a"), name(F.col("cb"), F.col("db")).alias("b"), "pa", (F.col("pa") - F.col("diagonal")).cast("int").alias("pb"))
     )
+    named = hashed.select(name(F.col("cls"), F.col("part")).alias("cls"), "key", "text")
+    need = meetings.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    texts = named.select("cls", "text").join(need, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
     reach = min_chars - gram
-    near = lambda text, at: F.substring(text, F.greatest(at - reach, F.lit(0)) + 1, F.lit(2 * reach + gram) - F.greatest(reach - at, F.lit(0)))
-    text_a = classes.select(F.col("cls").alias("a"), F.col("text").alias("ta"))
-    text_b = classes.select(F.col("cls").alias("b"), F.col("text").alias("tb"))
-    with_a = meetings.join(text_a, "a").select("a", "b", "pa", "pb", near(F.col("ta"), F.col("pa")).alias("wa"))
-    with_b = with_a.join(text_b, "b").select("a", "b", "pa", "pb", "wa", near(F.col("tb"), F.col("pb")).alias("wb"))
+    near = lambda text, p: F.substring(text, F.greatest(p - reach, F.lit(0)) + 1, F.lit(2 * reach + gram) - F.greatest(reach - p, F.lit(0)))
+    with_a = meetings.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "pa", "pb", near(F.col("ta"), F.col("pa")).alias("wa"))
+    with_b = with_a.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "pa", "pb", "wa", near(F.col("tb"), F.col("pb")).alias("wb"))
     run = F.pandas_udf(_common_runs, "int")("wa", F.least("pa", F.lit(reach)), "wb", F.least("pb", F.lit(reach)))
     pairs = with_b.where(run >= min_chars).select("a", "b").distinct()
+    members = cut(named.select("cls", "key").distinct())
     across = pairs.join(members.select(F.col("cls").alias("a"), F.col("key").alias("ka")), "a").join(members.select(F.col("cls").alias("b"), F.col("key").alias("kb")), "b")
     across = across.where("ka <> kb").select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"))
     # Keys of one class share its whole text; classes of one member have no such pair.
-    alone = members.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1").select("cls")
-    kin = members.join(alone, "cls", "left_semi")
+    several = members.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1").select("cls")
+    kin = members.join(several, "cls", "left_semi")
     inside = kin.alias("x").join(kin.alias("y"), "cls").where("x.key < y.key").select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
     return across.union(inside).distinct()
 
