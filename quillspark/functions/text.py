@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,11 @@ PARAGRAPH, ITEM = "\ue001", "\ue002"
 LIST_START = rf"(?:[{BULLETS}]|-\s|\d+[.)])"
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` computed once, however often ``f`` uses it: a chain of such steps stays linear."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def plain_spaces(text: Column) -> Column:
     """Every kind of white space outside ASCII as a space; same length."""
     return F.translate(text, WIDE_SPACES, " " * len(WIDE_SPACES))
@@ -127,13 +134,16 @@ def normalize_inline_footnotes(text: Column) -> Column:
 
 def restore_leading_capital(text: Column) -> Column:
     """The first letter of a leading word in lower case is capitalised, behind a list marker too."""
-    lead = F.regexp_extract(text, rf"^(\s*(?:(?:[{BULLETS}]|- |\d+[.)])\s*)?)", 1)
-    at = F.length(lead)
-    rest = F.substring(text, at + 1, F.length(text))
-    word = F.regexp_extract(rest, r"^[^\p{L}]*([A-Za-z]+(?:['’\-][A-Za-z]+)*)", 1)
-    gap = F.length(F.regexp_extract(rest, r"^([^\p{L}]*)", 1))
-    cap = F.concat(F.left(text, at + gap), F.upper(F.substring(rest, gap + 1, F.lit(1))), F.substring(rest, gap + 2, F.length(text)))
-    return F.when((word != "") & (word == F.lower(word)), cap).otherwise(text)
+
+    def capitalised(t: Column) -> Column:
+        at = F.length(F.regexp_extract(t, rf"^(\s*(?:(?:[{BULLETS}]|- |\d+[.)])\s*)?)", 1))
+        rest = F.substring(t, at + 1, F.length(t))
+        word = F.regexp_extract(rest, r"^[^\p{L}]*([A-Za-z]+(?:['’\-][A-Za-z]+)*)", 1)
+        gap = F.length(F.regexp_extract(rest, r"^([^\p{L}]*)", 1))
+        cap = F.concat(F.left(t, at + gap), F.upper(F.substring(rest, gap + 1, F.lit(1))), F.substring(rest, gap + 2, F.length(t)))
+        return F.when((word != "") & (word == F.lower(word)), cap).otherwise(t)
+
+    return let(text, capitalised)
 
 
 def split_glued_words(text: Column) -> Column:
@@ -167,11 +177,16 @@ def json_issues(text: Column) -> Column:
 
 def json_safe(text: Column) -> Column:
     """Control characters and a leading ``", `` go, an odd quote at an edge goes, and the ends are trimmed."""
+    end = 1 << 30
+    odd = lambda t: (F.length(t) - F.length(F.replace(t, F.lit('"'), F.lit("")))) % 2 != 0
+    steps = (
+        lambda t: F.when(t.startswith('", '), F.substring(t, 4, end)).otherwise(t),
+        lambda t: F.when(t.rlike(r'^"[a-z]'), F.substring(t, 2, end)).otherwise(t),
+        lambda t: F.when(odd(t) & t.endswith('"'), F.left(t, F.length(t) - 1)).when(odd(t) & t.startswith('"'), F.substring(t, 2, end)).otherwise(t),
+    )
     out = remove_control_characters(text)
-    out = F.when(out.startswith('", '), F.substring(out, 4, 1 << 30)).otherwise(out)
-    out = F.when(out.rlike(r'^"[a-z]'), F.substring(out, 2, 1 << 30)).otherwise(out)
-    odd = (F.length(out) - F.length(F.replace(out, F.lit('"'), F.lit("")))) % 2 != 0
-    out = F.when(odd & out.endswith('"'), F.left(out, F.length(out) - 1)).when(odd & out.startswith('"'), F.substring(out, 2, 1 << 30)).otherwise(out)
+    for step in steps:
+        out = let(out, step)
     return strip(out)
 
 
