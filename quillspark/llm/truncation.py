@@ -12,10 +12,10 @@ the row to the judgement of its own end. Repeated rows are judged alike.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import cut
 from .sentences import BEFORE_NUMBER, BLANKS, NEVER_LAST
 
 #: A crowd reaches so far below the maximum: a cut at a word boundary, or before a sign of omission, loses up to a word.
@@ -27,11 +27,13 @@ TAIL = 60
 
 SIGN = r"\s*(?:\[(?:\.{3}|…)\]?|>>|\(cont[^)\n]{0,20}\)?|\x{FFFD}+)$"
 ELLIPSIS = r"(?:\.{2,}|…+)[”’\"»」)]*$"
-STOP = r"[.!?。！？｡।॥؟;;][”’\"'»“」』）)\]]*(?:\s?[»”])?(?:\[\d{1,3}\]?)?$"
+STOPS = tuple(".!?。！？｡।॥؟;\u037e")
+CLOSERS = "”’\"'»“」』）)] "
 CUT_SIGN = r"\s*(?:\.{2,}|…+)[”’\"*»」)]*$"
 ITEM = r"[ \t]*(?:[•‣◦▪●○*\-]|\d{1,3}[.)])[ \t]"
 BLOCK = rf"\n[ \t]*\n\s*|\n(?={ITEM})"
 THAI, CJK = r"ก-๎", r"ぁ-ヿ㐀-鿿"
+THAI_RANGE, CJK_RANGES = (("ก", "๎"),), (("ぁ", "ヿ"), ("㐀", "鿿"))
 
 
 def book_of(source: Column, chunk_id: Column) -> Column:
@@ -40,12 +42,27 @@ def book_of(source: Column, chunk_id: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(source), F.lit("")), F.nullif(own, F.lit("")))
 
 
+def _last_in(text: Column, ranges: tuple[tuple[str, str], ...]) -> Column:
+    """Whether the last character lies in one of some ranges; a comparison, since a search for it would read the whole text."""
+    char = F.right(text, F.lit(1))
+    inside = F.lit(False)
+    for low, high in ranges:
+        inside = inside | char.between(low, high)
+    return inside
+
+
+def _stops(tail: Column) -> Column:
+    """Whether the end of a text is a terminator, behind any closing quotes, brackets and note mark."""
+    bare = F.when(_last_in(tail, (("0", "9"), ("]", "]"))), F.regexp_replace(tail, r"\[\d{1,3}\]?$", "")).otherwise(tail)
+    return F.right(F.rtrim(bare, F.lit(CLOSERS)), F.lit(1)).isin(*STOPS)
+
+
 def _last_token(text: Column) -> Column:
     """What a text ends with: the last word, or some last characters where words aren't divided by spaces."""
-    word = F.substring_index(F.translate(text, "\n ", "  "), " ", -1)
+    word = F.substring_index(F.translate(text, "\n\u00a0", "  "), " ", -1)
     return (
-        F.when(text.rlike(rf"[{THAI}]$"), F.concat(F.lit("t:"), F.right(text, F.lit(4))))
-        .when(text.rlike(rf"[{CJK}]$"), F.concat(F.lit("c:"), F.right(text, F.lit(2))))
+        F.when(_last_in(text, THAI_RANGE), F.concat(F.lit("t:"), F.right(text, F.lit(4))))
+        .when(_last_in(text, CJK_RANGES), F.concat(F.lit("c:"), F.right(text, F.lit(2))))
         .otherwise(F.concat(F.lit("w:"), word))
     )
 
@@ -87,7 +104,7 @@ def _features(df: DataFrame, id_col: str, text_col: str, chunk_col: str, source:
         .when(tail.rlike(SIGN), "sign")
         .when(tail.rlike(ELLIPSIS), "ellipsis")
         .when(tail.rlike(r"\n[ \t]*(?:[•‣◦▪●○*\-]|\d{1,3}[.)]?)$") | tail.rlike(rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{never}|\p{{Lu}})\.$"), "broken")
-        .when(tail.rlike(STOP), "stop")
+        .when(_stops(tail), "stop")
         .otherwise("open")
     )
     base = base.withColumn("__end", end)
@@ -137,18 +154,18 @@ def natural_ends(df: DataFrame, text_col: str = "text") -> DataFrame:
     text = df.select(F.rtrim(F.col(text_col), F.lit(BLANKS)).alias("t"))
     blocks = text.select(F.split("t", BLOCK).alias("bs")).select(F.explode(F.slice("bs", F.lit(1), F.greatest(F.size("bs") - 1, F.lit(0)))).alias("b"))
     tail = F.right("b", F.lit(TAIL))
-    blocks = blocks.select(F.rtrim("b", F.lit(BLANKS)).alias("b")).where(~tail.rlike(STOP) & ~tail.rlike(ELLIPSIS) & (F.col("b") != ""))
+    blocks = blocks.select(F.rtrim("b", F.lit(BLANKS)).alias("b")).where((F.col("b") != "") & ~_stops(tail) & ~tail.rlike(ELLIPSIS))
     token, item = _last_token(F.col("b")), F.col("b").rlike("^" + ITEM)
     pairs = F.when(item, F.array(F.struct(F.lit("item").alias("kind"), token.alias("key")))).otherwise(
         F.array(F.struct(F.lit("head").alias("kind"), token.alias("key")), F.struct(F.lit("shape").alias("kind"), _shape(F.col("b")).alias("key")))
     )
-    ends = blocks.where(~F.col("b").rlike(rf"[{THAI}]$")).select(F.explode(pairs).alias("p")).select("p.kind", "p.key")
+    ends = blocks.where(~_last_in(F.col("b"), THAI_RANGE)).select(F.explode(pairs).alias("p")).select("p.kind", "p.key")
     thai = (
         text.where(F.col("t").rlike(rf"[{THAI}]"))
         .select(F.explode(F.regexp_extract_all("t", F.lit(rf"([{THAI}]{{4}})(?=[ \n][{THAI}•\-\n\d])"), F.lit(1))).alias("end"))
         .select(F.lit("thai").alias("kind"), F.concat(F.lit("t:"), F.col("end")).alias("key"))
     )
-    counts = ends.union(thai).groupBy("kind", "key").agg(F.count("*").alias("n"))
+    counts = cut(ends.union(thai).groupBy("kind", "key").agg(F.count("*").alias("n")))  # read four times
     script = F.when(F.col("kind") == "shape", "").otherwise(F.concat(F.left(F.regexp_replace("key", r"^w:[\P{L}]*", "w:"), F.lit(2)), F.floor(F.ascii(F.regexp_replace("key", r"^.:[^\p{L}]*", "")) / 128)))
     totals = counts.groupBy("kind", script.alias("script")).agg(F.sum("n").alias("of"))
     return (
@@ -159,8 +176,7 @@ def natural_ends(df: DataFrame, text_col: str = "text") -> DataFrame:
 def truncated(df: DataFrame, id_col: str = "row_id", text_col: str = "text", chunk_col: str = "chunk_id", source: Column | None = None) -> DataFrame:
     """One row per row of ``df``: its id, ``book``, ``ending`` and ``is_cut``."""
     source = F.col("metadata.source") if source is None else source
-    # Read four times below; it holds no text, and what is lost with an executor is made again.
-    features = _features(df, id_col, text_col, chunk_col, source).persist(StorageLevel.MEMORY_AND_DISK)
+    features = cut(_features(df, id_col, text_col, chunk_col, source))  # read four times; it holds no text
     at = limits(features).groupBy("__book").agg(
         *(F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}") for m in ("chars", "bytes") for c in ("low", "high"))
     )
