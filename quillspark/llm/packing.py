@@ -26,18 +26,11 @@ def byt5_tokens(text: Column) -> Column:
     return F.octet_length(text) + 1
 
 
-def best_fit(sizes: np.ndarray, capacities: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """(container of each item, capacity of each container). Sizes must lie between 1 and the largest capacity.
-
-    Rooms are held as one bit for each amount of room left, and the least sufficient one is found by the lowest set bit.
-    The cost of opening a capacity is the room that the rest of the items could not fill; equal costs open the largest.
-    """
-    capacities = tuple(sorted(capacities))
-    order = np.argsort(-sizes, kind="stable")
+def _fit(order: np.ndarray, sizes: np.ndarray, capacities: tuple[int, ...], opens: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best fit in a given order; ``opens`` is the capacity opened where an item fits it, 0 the one of least cost."""
     rest = np.r_[np.cumsum(sizes[order][::-1])[::-1], 0]
     at = np.empty(len(sizes), np.int64)
     content: list[int] = []
-    opened: list[int] = []
     by_room: dict[int, list[int]] = {}
     rooms = 0
     for k, i in enumerate(order):
@@ -49,11 +42,10 @@ def best_fit(sizes: np.ndarray, capacities: tuple[int, ...]) -> tuple[np.ndarray
             if not by_room[room]:
                 rooms &= ~(1 << room)
         else:
-            waste = [(max(0, c - size - int(rest[k + 1])), -c) for c in capacities if c >= size]
-            room = -min(waste)[1]
+            wide = [c for c in capacities if c >= max(size, opens)]
+            room = -min((max(0, c - size - int(rest[k + 1])), -c) for c in wide)[1] if not opens else wide[0]
             box = len(content)
             content.append(0)
-            opened.append(room)
         at[i] = box
         content[box] += size
         room -= size
@@ -64,6 +56,19 @@ def best_fit(sizes: np.ndarray, capacities: tuple[int, ...]) -> tuple[np.ndarray
     return at, steps[np.searchsorted(steps, np.asarray(content, np.int64))] if content else np.empty(0, np.int64)
 
 
+def best_fit(sizes: np.ndarray, capacities: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(container of each item, capacity of each container). Sizes must lie between 1 and the largest capacity.
+
+    Rooms are held as one bit for each amount of room left, and the least sufficient one is found by the lowest set bit.
+    The cost of opening a capacity is the room that the rest of the items could not fill; equal costs open the largest.
+    Opening by that cost and opening one capacity throughout are tried, and the packing of least capacity in all is taken.
+    """
+    capacities = tuple(sorted(capacities))
+    order = np.argsort(-sizes, kind="stable")
+    ways = [_fit(order, sizes, capacities, opens) for opens in ((0, *capacities) if len(capacities) > 1 else (0,))]
+    return min(ways, key=lambda way: (int(way[1].sum()), len(way[1])))
+
+
 def pack(df: DataFrame, id_col: str, size: Column, capacities: tuple[int, ...] = (4096,), block_items: int = 50_000) -> DataFrame:
     """(id, part, part_size, container, capacity): where each item, or each part of an oversized one, goes.
 
