@@ -18,13 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .confusables import same_look
-from .spans import _codes, fingerprints, window_hashes
+from .lineage import cut
+from .spans import _codes, _common_runs, fingerprints, window_hashes
 
 GRAM = 32
 # Lower-case letters whose capitals have the shape of a Latin capital, and that letter; fixed values. n and v are one
@@ -92,14 +92,14 @@ def leaks(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text_col: str = "text", min_chars: int = 80, max_probe: int = 4_000_000
 ) -> DataFrame:
     """(doc_id, item_id): the documents and items that share a run of ``min_chars`` letters and digits."""
-    corpus, tests = comparable(docs, doc_id, text_col), comparable(items, item_id, text_col)
+    corpus, tests = comparable(docs, doc_id, text_col), cut(comparable(items, item_id, text_col))
     shingles = _shingles(tests, min_chars)
     # The probe set is taken to the tasks only behind this check; one more row than allowed is enough to know.
     few = shingles.select("hash").distinct().limit(max_probe + 1).toPandas()["hash"].to_numpy(np.int64)
     if len(few) == 0:
         return docs.select(F.col(doc_id), F.lit(None).cast(items.schema[item_id].dataType).alias(item_id)).where("false")
     if len(few) <= max_probe:
-        hits = _probed(corpus, few, min_chars).persist(StorageLevel.MEMORY_AND_DISK)
+        hits = cut(_probed(corpus, few, min_chars))
         rarity = hits.groupBy("hash").agg(F.count("*").alias("df"))
         ranked = shingles.join(rarity, "hash", "left").withColumn("df", F.coalesce("df", F.lit(0)))
         ahead = Window.partitionBy("id").orderBy("pos").rowsBetween(0, min_chars - GRAM)
@@ -108,33 +108,27 @@ def leaks(
         prefix = windows.select(F.col("id").alias("item"), F.col("pos").alias("start"), F.col("rare.hash").alias("hash"), (F.col("rare.pos") - F.col("pos")).alias("offset"))
     else:
         hits = fingerprints(corpus, "id", "letters", GRAM, min_chars)
-        prefix = fingerprints(tests, "id", "letters", GRAM, min_chars).select(F.col("id").alias("item"), F.col("pos").alias("start"), "hash", F.lit(None).cast("int").alias("offset"))
-    meet = hits.select(F.col("id").alias("doc"), F.col("pos").alias("at"), "hash").join(prefix, "hash")
-    return _verified(meet, corpus, tests, min_chars).select(F.col("doc").alias(doc_id), F.col("item").alias(item_id))
+        prefix = fingerprints(tests, "id", "letters", GRAM, min_chars).select(F.col("id").alias("item"), F.col("pos").alias("start"), "hash")
+    meet = cut(hits.select(F.col("id").alias("doc"), F.col("pos").alias("at"), "hash").join(prefix, "hash"))
+    # Cut, for else the filters of the form are pushed below this join and run over the whole corpus again.
+    met_docs = cut(docs.select(doc_id, text_col).join(meet.select(F.col("doc").alias(doc_id)).distinct(), doc_id, "left_semi"))
+    texts = comparable(met_docs, doc_id, text_col).select(F.col("id").alias("doc"), F.col("letters").alias("dl"))
+    probes = tests.select(F.col("id").alias("item"), F.col("letters").alias("il"))
+    verified = _exact_windows(meet, texts, probes, min_chars) if len(few) <= max_probe else _any_windows(meet, texts, probes, min_chars)
+    return verified.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id))
 
 
-def _verified(meet: DataFrame, corpus: DataFrame, tests: DataFrame, min_chars: int) -> DataFrame:
-    """(doc, item) of the meetings around which the letters agree over ``min_chars``.
+def _exact_windows(meet: DataFrame, texts: DataFrame, probes: DataFrame, min_chars: int) -> DataFrame:
+    """(doc, item) of the meetings whose window, which must begin at ``at - offset`` in the document, is there in full."""
+    both = meet.where(F.col("at") >= F.col("offset")).join(probes, "item").select("doc", "item", (F.col("at") - F.col("offset")).alias("at"), F.substring("il", F.col("start") + 1, F.lit(min_chars)).alias("w"))
+    side = both.distinct().join(texts, "doc")
+    return side.where(F.substring("dl", F.col("at") + 1, F.lit(min_chars)) == F.col("w")).select("doc", "item").distinct()
 
-    With an offset, the window is known: it must begin at ``at - offset``. Without, any window around the meeting counts.
-    Windows are compared, not whole texts, and each document's letters are moved once, not once for each meeting.
-    """
-    need = meet.select("doc").distinct()
-    texts = corpus.join(need.withColumnRenamed("doc", "id"), "id", "left_semi").select(F.col("id").alias("doc"), F.col("letters").alias("dl"))
-    probes = tests.select(F.col("id").alias("item"), F.col("letters").alias("il"))
-    both = meet.where(F.col("offset").isNull() | (F.col("at") >= F.col("offset"))).join(probes, "item")
+
+def _any_windows(meet: DataFrame, texts: DataFrame, probes: DataFrame, min_chars: int) -> DataFrame:
+    """(doc, item) of the meetings around which the letters agree over ``min_chars``, wherever the window begins."""
     reach = min_chars - GRAM
-    begin = F.coalesce(F.col("start") - 0, F.lit(0))
-    window = F.when(F.col("offset").isNotNull(), F.substring("il", begin + 1, F.lit(min_chars))).otherwise(
-        F.substring("il", F.greatest(begin - reach, F.lit(0)) + 1, reach + GRAM + F.least(begin, F.lit(reach)))
-    )
-    side = both.select("doc", "item", "at", "offset", F.least("start", F.lit(reach)).alias("lead"), window.alias("w")).join(texts, "doc")
-    exact = side.where(F.col("offset").isNotNull() & (F.substring("dl", F.col("at") - F.col("offset") + 1, F.lit(min_chars)) == F.col("w"))).select("doc", "item")
-    loose = side.where(F.col("offset").isNull()).select(
-        "doc", "item", "lead", "w", F.least("at", F.lit(reach)).alias("dlead"),
-        F.substring("dl", F.greatest(F.col("at") - reach, F.lit(0)) + 1, reach + GRAM + F.least(F.col("at"), F.lit(reach))).alias("dw"),
-    )
-    from .spans import _common_runs
-
-    near = loose.where(F.pandas_udf(_common_runs, "int")("w", "lead", "dw", "dlead") >= min_chars).select("doc", "item")
-    return exact.union(near).distinct()
+    near = lambda text, p: F.substring(text, F.greatest(p - reach, F.lit(0)) + 1, F.lit(reach + GRAM) + F.least(p, F.lit(reach)))
+    both = meet.join(probes, "item").select("doc", "item", "at", F.least("start", F.lit(reach)).alias("lead"), near(F.col("il"), F.col("start")).alias("w"))
+    side = both.join(texts, "doc").select("doc", "item", "lead", "w", F.least("at", F.lit(reach)).alias("dlead"), near(F.col("dl"), F.col("at")).alias("dw"))
+    return side.where(F.pandas_udf(_common_runs, "int")("w", "lead", "dw", "dlead") >= min_chars).select("doc", "item").distinct()
