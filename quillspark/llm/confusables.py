@@ -18,12 +18,15 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 # Letters of other scripts with the shape of a Latin letter; fixed values.
 SAME_SHAPE = {
     "А": "A", "В": "B", "С": "C", "Е": "E", "Н": "H", "І": "I", "Ј": "J", "К": "K", "М": "M", "О": "O", "Р": "P", "Ѕ": "S", "Т": "T", "Х": "X", "У": "Y", "Ү": "Y", "Ԛ": "Q", "Ԝ": "W",
@@ -72,15 +75,18 @@ def code_point_map() -> dict[str, str]:
     return out
 
 
-def _composed(texts: pd.Series) -> pd.Series:
+def _composer(table: dict[int, str]) -> Callable[[pd.Series], pd.Series]:
     """The whole form of texts that need marks ordered or a character expanded: composed, mapped, composed again.
 
     Composed before, so that a mark isn't parted from a letter with a precomposed form of another look; after, since a
     mapped letter may compose with the mark that follows it.
     """
-    table = {ord(k): v for k, v in code_point_map().items()}
-    nfc = unicodedata.normalize
-    return texts.map(lambda t: nfc("NFC", nfc("NFC", t).translate(table)), na_action="ignore")
+
+    def composed(texts: pd.Series) -> pd.Series:
+        nfc = unicodedata.normalize
+        return texts.map(lambda t: nfc("NFC", nfc("NFC", t).translate(table)), na_action="ignore")
+
+    return composed
 
 
 def same_look(df: DataFrame, text_col: str = "text", out_col: str = "form") -> DataFrame:
@@ -96,11 +102,14 @@ def same_look(df: DataFrame, text_col: str = "text", out_col: str = "form") -> D
     source, target = "".join([*ones, *(k for k, v in table.items() if not v)]), "".join(ones.values())
     text = F.col(text_col)
     ascii_only = F.octet_length(text) == F.length(text)
-    once = df.withColumn(out_col, F.when(ascii_only, text).otherwise(F.translate(F.replace(text, F.lit(ELLIPSIS), F.lit("...")), source, target)))
-    once = once.withColumn("__python", F.when(ascii_only, False).otherwise(F.coalesce(F.col(out_col).rlike(r"[\p{M}\x{1100}-\x{11ff}\x{100000}-\x{10ffff}]"), F.lit(False))))
-    plain = once.where(~F.coalesce("__python", F.lit(False))).drop("__python")
-    marked = once.where("__python").drop("__python", out_col).withColumn(out_col, F.pandas_udf(_composed, "string")(text))
-    return plain.unionByName(marked)
+    mapped = F.translate(F.replace(text, F.lit(ELLIPSIS), F.lit("...")), source, target)
+    once = df.withColumn("__form", F.when(ascii_only, text).otherwise(mapped))
+    marks = F.col("__form").rlike(r"[\p{M}\x{1100}-\x{11ff}\x{100000}-\x{10ffff}]")
+    once = once.withColumn("__python", F.when(ascii_only, False).otherwise(F.coalesce(marks, F.lit(False))))
+    # One pass: every row meets the function, but a row that doesn't need it sends a null there and keeps its own form.
+    composed = F.pandas_udf(_composer({ord(k): v for k, v in table.items()}), "string")(F.when(F.col("__python"), text))
+    once = once.withColumn("__composed", composed)
+    return once.withColumn(out_col, F.when(F.col("__python"), F.col("__composed")).otherwise(F.col("__form"))).drop("__form", "__python", "__composed")
 
 
 def same_look_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,7 +120,7 @@ def same_look_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     forms = same_look(df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     digest = lambda c: F.struct(F.xxhash64(c).alias("x"), F.hash(c).alias("h"), F.length(c).alias("n"))
-    keys = forms.select("id", digest("form").alias("form"), digest("text").alias("cls"))
+    keys = cut(forms.select("id", digest("form").alias("form"), digest("text").alias("cls")))  # read four times
     classes = keys.groupBy("form", "cls").agg(F.count("*").alias("n"))
     mixed = classes.groupBy("form").agg(F.count("*").alias("k")).where("k > 1").select("form")
     rows = keys.join(mixed, "form", "left_semi")
