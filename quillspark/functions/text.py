@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Spaces outside ASCII, which patterns don't count as white space; fixed values.
@@ -28,6 +28,15 @@ def let(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
+def with_once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """``df`` with a column that is computed once for each row: filters and later columns can't be moved below it.
+
+    Catalyst pushes a filter on a computed column below the projection, and so computes it again; it doesn't push one
+    through a generator, which here makes one row of each.
+    """
+    return df.select(*(c for c in df.columns if c != name), F.explode(F.array(column)).alias(name))
+
+
 def plain_spaces(text: Column) -> Column:
     """Every kind of white space outside ASCII as a space; same length."""
     return F.translate(text, WIDE_SPACES, " " * len(WIDE_SPACES))

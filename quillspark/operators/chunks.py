@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.predicates import normalized
-from ..functions.text import words
+from ..functions.text import with_once, words
 
 
 def word_windows(rows: DataFrame, id_col: str, text_col: str = "text", size: int = 400, overlap: int = 50) -> DataFrame:
@@ -19,14 +19,15 @@ def word_windows(rows: DataFrame, id_col: str, text_col: str = "text", size: int
     A window that its predecessor holds wholly is left out, as is a last one of at most twice the overlap.
     """
     step = max(1, size - max(overlap, 0))
-    w = rows.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0).withColumn("n", F.size("w"))
+    w = with_once(rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("w")), "w", words(F.col("w"))).where(F.size("w") > 0).withColumn("n", F.size("w"))
     starts = w.select("id", "w", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(step))).alias("s"))
     length = F.least(F.lit(size), F.col("n") - F.col("s"))
     contained = (F.col("s") > 0) & (F.col("n") - F.col("s") <= overlap)
     tiny_last = (F.col("s") > 0) & (F.col("s") + step >= F.col("n")) & (length <= 2 * overlap)
     # After a contained window is left out, the one before it is the last; it is full or longer than the overlap already.
     kept = starts.where(~contained & ~tiny_last)
-    return kept.select(F.col("id").alias(id_col), (F.col("s") / step).cast("int").alias("chunk"), length.alias("n_words"), F.array_join(F.slice("w", F.col("s") + 1, length), " ").alias("text"))
+    cut = kept.select(F.col("id").alias(id_col), (F.col("s") / step).cast("int").alias("chunk"), length.alias("n_words"), F.slice("w", F.col("s") + 1, length).alias("text"))
+    return with_once(cut, "text", F.array_join("text", " "))
 
 
 def overlap_window(prev: Column, curr: Column, limit: int) -> Column:

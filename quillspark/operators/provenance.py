@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics as M
 from ..functions import predicates as P
+from ..functions.text import let
 
 
 def match_blocks(blocks: DataFrame, docs: DataFrame) -> DataFrame:
@@ -19,12 +20,11 @@ def match_blocks(blocks: DataFrame, docs: DataFrame) -> DataFrame:
 def with_metadata(chunks: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``meta``: readability, kind of block and list, utterance and importance, all read from the text."""
     t = F.col(text_col)
-    grade = M.flesch_kincaid(t)
     listed = P.contains_bullet(t) | P.starts_with_number(t)
     meta = F.struct(
         F.when(listed, "list_item").otherwise("paragraph").alias("block_type"),
         F.when(P.contains_bullet(t), "bullet").when(P.starts_with_number(t), "numbered").alias("list_kind"),
-        F.struct(grade.alias("flesch_kincaid_grade"), M.difficulty(grade).alias("difficulty")).alias("readability"),
+        let(M.flesch_kincaid(t), lambda g: F.struct(g.alias("flesch_kincaid_grade"), M.difficulty(g).alias("difficulty"))).alias("readability"),
         F.when(t.rlike(r"\?\s*$"), "question").otherwise("statement").alias("utterance_type"),
         F.lit("medium").alias("importance"),
         F.left(F.md5(t), F.lit(8)).alias("text_hash"),

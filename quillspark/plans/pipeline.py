@@ -41,14 +41,15 @@ def register(name: str) -> Callable[[Pass], Pass]:
 
 @register("text_clean")
 def text_clean(df: DataFrame) -> DataFrame:
-    return df.withColumn("text", T.let(F.col("text"), T.clean_text))
+    return T.with_once(df, "text", T.clean_text(F.col("text")))
 
 
 @register("detect_page_artifacts")
 def detect_page_artifacts(df: DataFrame) -> DataFrame:
     """Lines that are headers or footers go, inside the row: a filter over the array of lines."""
     keep = lambda line: ~P.is_page_artifact(line, F.lit(0)) | P.starts_with_number(line)
-    return df.withColumn("text", T.let(F.col("text"), lambda t: F.array_join(F.filter(F.split(t, "\n"), lambda line: (line == "") | keep(line)), "\n")))
+    lines = F.filter(F.split("text", "\n"), lambda line: (line == "") | keep(line))
+    return T.with_once(df, "text", F.array_join(lines, "\n"))
 
 
 @register("list_detect")
