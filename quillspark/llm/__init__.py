@@ -1,8 +1 @@
 """Operators for preparing training text. Nothing outside this folder imports it."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Functions sent to Python workers go by value, so that executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

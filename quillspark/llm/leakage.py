@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.text import with_once
 from .confusables import same_look
 from .lineage import cut
 from .spans import _codes, _common_runs, fingerprints, window_hashes
@@ -33,14 +34,17 @@ SMALL_OF_SAME_SHAPE = ("квнмтαβεζηικμνρτυχςn", "kbhmtabezhikm
 
 
 def _letters(form: Column) -> Column:
-    low = F.replace(F.lower(form), F.lit("ß"), F.lit("ss"))
-    return F.regexp_replace(F.translate(low, *SMALL_OF_SAME_SHAPE), r"[^\p{L}\p{N}]+", "")
+    low = F.lower(form)
+    # Of the mapping, ASCII texts need the last pair only, and a replacement is faster than a look-up for each character.
+    ascii_only = F.octet_length(form) == F.length(form)
+    other = F.translate(F.replace(low, F.lit("ß"), F.lit("ss")), *SMALL_OF_SAME_SHAPE)
+    return F.when(ascii_only, F.regexp_replace(F.replace(low, F.lit("n"), F.lit("v")), "[^a-z0-9]+", "")).otherwise(F.regexp_replace(other, r"[^\p{L}\p{N}]+", ""))
 
 
 def comparable(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, letters): what the comparison sees of each text."""
     base = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return same_look(base).select("id", _letters(F.col("form")).alias("letters"))
+    return with_once(same_look(base).select("id", "form"), "letters", _letters(F.col("form"))).drop("form")
 
 
 def _shingles(df: DataFrame, min_chars: int) -> DataFrame:
