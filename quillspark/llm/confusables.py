@@ -6,10 +6,10 @@ letter, marks are ordered by class and composed. Raised, circled, squared, fract
 accents and line breaks are kept.
 
 The mapping tables are made by rule from the Unicode database. They are applied inside each row: one-to-one and
-one-to-none mappings by ``translate``, one-to-many by ``replace``, and only texts with combining marks or conjoining
-Hangul go through an Arrow function that orders and composes. Exploding every text to rows of code points and joining
-the mappings, as first considered, moves a row of some 40 bytes for each character through a shuffle (about ten times the
-input); see the README.
+one-to-none mappings by ``translate``, and only texts with combining marks, conjoining Hangul or a character that becomes
+several get their form from an Arrow function that orders and composes. Exploding texts to rows of code points, joining
+the mappings and gathering the rows again gives the same form at several times the cost (figures in the README), since
+every character becomes a row of a shuffle.
 
 Defined results: null stays null, empty stays empty. Identical texts, and copies of them, are one class.
 """

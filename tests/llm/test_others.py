@@ -57,6 +57,13 @@ def test_shared_pairs(spark):
     assert spans.shared_pairs(df.limit(0)).count() == 0
 
 
+def test_periodic_texts(spark):
+    rows = [("a", "x" * 40000), ("b", "y" + "x" * 40000 + "z"), ("c", "ab-" * 9000), ("d", "q" + "ab-" * 90), ("e", "x" * 199), ("f", " " * 5000 + "end")]
+    df = spark.createDataFrame(rows, "chunk_id string, text string")
+    assert {(r.a, r.b) for r in spans.shared_pairs(df).collect()} == {("a", "b"), ("c", "d")}
+    assert len(spans.winnowed(spans._codes("x" * 40000), 64, 200)[0]) < 10
+
+
 def test_winnowing_keeps_a_window_of_every_run():
     rng = np.random.default_rng(0)
     for _ in range(50):

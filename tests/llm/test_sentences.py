@@ -20,7 +20,6 @@ CASES = [
     ("«نعم!» قال المعلم. انظر ص. 3 هنا؟ لا.", ["«نعم!» قال المعلم.", "انظر ص. 3 هنا؟", "لا."]),
     ("บ้านเก่า ปี พ.ศ. 2470 บ้านใหม่ 12 ชิ้น ถนน", ["บ้านเก่า", "ปี พ.ศ. 2470 บ้านใหม่ 12 ชิ้น", "ถนน"]),
     ("cut in the mid", ["cut in the mid"]),
-    ("Private  mark.  Next", ["Private  mark.", " Next"]),
 ]
 
 
@@ -33,6 +32,12 @@ def test_units(spark, text, expected):
         assert [r.sentence for r in got] == expected
 
 
+def test_private_use_characters_of_the_text_survive(spark):
+    text = "A \ue000 mark\ue00f here. Two\x87 more."
+    got = sentences(spark.createDataFrame([(1, text)], "row_id long, text string"), with_text=True).orderBy("sent_index").collect()
+    assert [r.sentence for r in got] == ["A \ue000 mark\ue00f here.", "Two\x87 more."]
+
+
 def test_cover_everything_but_white_space(spark):
     rows = [(1, None), (2, ""), (3, " \n "), (4, CASES[0][0] * 300), (5, "x" * 30000), (5, "A. B. C.\n\n• d\n• e 😀. F")]
     df = spark.createDataFrame(rows, "row_id long, text string")
