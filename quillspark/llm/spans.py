@@ -63,6 +63,16 @@ def winnowed(codes: np.ndarray, gram: int, span: int) -> tuple[np.ndarray, np.nd
         block = h[s : e + n - 1]
         chosen[s + np.flatnonzero(block == least[s])] = True
     at = np.flatnonzero(chosen)
+    if len(at) > 4:
+        # A text that repeats itself within a window (rulers, blank runs) has one hash at equal steps; windows that overlap
+        # and are equal make the stretch periodic, so its first two and last two positions find what all of them would.
+        step = np.diff(at)
+        same = (h[at][1:] == h[at][:-1]) & (step < gram)
+        inner = np.zeros(len(at), bool)
+        inner[1:-1] = same[:-1] & same[1:] & (step[:-1] == step[1:])
+        deep = inner.copy()
+        deep[1:-1] &= inner[:-2] & inner[2:]
+        at = at[~deep]
     return at, h[at]
 
 
