@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import with_once
 from .lineage import cut
 from .sentences import sentence_spans
 
@@ -181,16 +182,18 @@ def shared_pairs(df: DataFrame, key_col: str = "chunk_id", text_col: str = "text
     return across.union(inside).distinct()
 
 
-def sentence_runs(df: DataFrame, id_col: str, text_col: str, run: int = 3) -> DataFrame:
-    """(id, first, last, start, stop, hash): every run of ``run`` consecutive sentences, hashed with its white space unified."""
-    spans = sentence_spans(F.col("__text"))
-    base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("__text")).where("__text is not null").withColumn("s", spans)
-    runs = base.where(F.size("s") >= run).select("id", "__text", "s", F.explode(F.sequence(F.lit(1), F.size("s") - run + 1)).alias("first"))
-    start, stop = F.expr("s[first - 1].sent_start"), F.expr(f"s[first + {run - 2}].sent_end")
+def sentence_runs(df: DataFrame, id_col: str, key_col: str, text_col: str, run: int = 3) -> DataFrame:
+    """(id, key, start, stop, hash): every run of ``run`` consecutive sentences. A sentence is hashed once, with its white space
+    unified, and a run by the hashes of its sentences."""
+    base = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(key_col).alias("key"), F.col(text_col).alias("text"))
+    base = with_once(base, "s", sentence_spans(F.col("text"))).where(F.size("s") >= run)
+    whole = lambda u: F.xxhash64(F.regexp_replace(F.substring(F.col("text"), u["sent_start"] + 1, u["sent_end"] - u["sent_start"]), r"\s+", " "))
+    hashed = with_once(base.withColumn("h", F.col("s")), "h", F.transform("h", whole)).drop("text")
+    runs = hashed.select("id", "key", "s", "h", F.explode(F.sequence(F.lit(1), F.size("s") - run + 1)).alias("first"))
+    last = F.col("first") + run - 1
     return runs.select(
-        "id", "first", (F.col("first") + run - 1).alias("last"), start.alias("start"), stop.alias("stop"),
-        F.xxhash64(F.regexp_replace(F.expr("substring(__text, s[first - 1].sent_start + 1, s[first + %d].sent_end - s[first - 1].sent_start)" % (run - 2)), r"\s+", " ")).alias("hash"),
-    )
+        "id", "key", F.element_at("s", F.col("first"))["sent_start"].alias("start"), F.element_at("s", last)["sent_end"].alias("stop"), F.xxhash64(F.slice("h", F.col("first"), F.lit(run))).alias("hash")
+    )
 
 
 def _covered(runs: DataFrame) -> Column:
@@ -211,11 +214,10 @@ def _covered(runs: DataFrame) -> Column:
 def shared_share(df: DataFrame, id_col: str = "row_id", key_col: str = "chunk_id", text_col: str = "text", run: int = 3) -> DataFrame:
     """(id, n_chars, shared_chars, shared_share, repeated_chars): how much of each record lies in runs of sentences that
     records of another key hold too, and how much in runs whose first occurrence is elsewhere (smallest id)."""
-    runs = sentence_runs(df, id_col, text_col, run)
-    keys = df.select(F.col(id_col).alias("id"), F.col(key_col).alias("key"), F.length(text_col).alias("n_chars"))
-    known = runs.join(keys.select("id", "key"), "id")
+    known = cut(sentence_runs(df, id_col, key_col, text_col, run))  # narrow, and read twice
     about = known.groupBy("hash").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.min("id").alias("first_id")).where("low <> high")
-    hit = known.join(about.select("hash", "first_id"), "hash")
+    hit = cut(known.join(about.select("hash", "first_id"), "hash"))
+    keys = df.select(F.col(id_col).alias("id"), F.col(key_col).alias("key"), F.length(text_col).alias("n_chars"))
     per = hit.groupBy("id").agg(_covered(hit).alias("shared_chars"))
     again = hit.where("id <> first_id")
     rep = again.groupBy("id").agg(_covered(again).alias("repeated_chars"))
