@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.text import BULLETS, WIDE_SPACES
+from ..sources.tables import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -14,7 +15,7 @@ TRIMMED = " \t\n\r\f" + WIDE_SPACES
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def query(sql: str | None = None, name: str | None = None) -> Callable:
