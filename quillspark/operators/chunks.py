@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.predicates import normalized
-from ..functions.text import with_once, words
+from ..functions.text import let, with_once, words
 
 
 def word_windows(rows: DataFrame, id_col: str, text_col: str = "text", size: int = 400, overlap: int = 50) -> DataFrame:
@@ -64,9 +64,12 @@ def exact_duplicates(rows: DataFrame, id_col: str, text_col: str = "text") -> Da
 
 def shingles(text: Column, size: int = 5) -> Column:
     """ARRAY<STRING> of the different runs of ``size`` words of the fingerprint."""
-    w = F.filter(F.split(fingerprint(text), " "), lambda x: x != "")
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, size), " "))
-    return F.when(F.size(w) >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+    def runs(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, size), " "))
+        return F.when(F.size(w) >= size, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+
+    return let(F.filter(F.split(fingerprint(text), " "), lambda x: x != ""), runs)
 
 
 def shared_shingles(rows: DataFrame, id_col: str, text_col: str = "text", size: int = 5) -> DataFrame:
