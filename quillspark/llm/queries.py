@@ -45,6 +45,11 @@ def p3_shares(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_share(_table(spark, folder, "epub"))
 
 
+def p3_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by runs of three whole sentences, of any length and however their white space is written."""
+    return spans.sentence_share(_table(spark, folder, "epub"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """The rows that were split, from their pieces."""
     return splitting.pieces(_table(spark, folder, "epub")).where("piece = 0").select("row_id")
@@ -98,7 +103,7 @@ def p7_forms(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_lengths, p2_found, p2_shares, p3_found, p3_shares, p4_found, p4_pieces,
+        p1_found, p1_lengths, p2_found, p2_shares, p3_found, p3_shares, p3_sentences, p4_found, p4_pieces,
         p5_found, p5_containers, p5_fill, p5_sizes, p6_found, p6_items, p7_found, p7_forms,
     )
 }

@@ -2,16 +2,16 @@
 
 Two layers:
 
-* ``sentence_runs`` / ``shared_share`` / ``without_repeats``: the method named. Every run of several consecutive sentences
+* ``sentence_runs`` / ``sentence_share`` / ``without_repeats``: the method named. Every run of several consecutive sentences
   is hashed, the hashes meet in one global shuffle, and a sentence covered by a run that another record holds too is
   shared; those covered by a run that isn't its first occurrence can be removed.
 * ``shared_pairs``: pairs of keys with a common run of ``min_chars`` characters, cut anywhere. Whole sentences can't find
   such runs for certain (a run may begin and end inside long sentences), so the spans hashed here are the character
   windows that winnowing selects: of every ``min_chars - gram + 1`` consecutive windows one is chosen by its hash alone,
   hence both texts choose the same one in every common run, whatever surrounds it. An exact comparison around each meeting
-  follows, so nothing is lost and nothing is wrong.
+  follows, so nothing is lost and nothing is wrong. ``shared_share`` measures how much of each record lies in such runs.
 
-Defined results: null keys or texts and texts below ``min_chars`` have no pair. Rows of one key never form a pair. Rows
+Defined results: null keys or texts and texts below ``min_chars`` have no pair and share 0. Rows of one key never form a pair. Rows
 with the same key and text count once.
 """
 
@@ -45,17 +45,28 @@ def window_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
     return _mixed(h)
 
 
+def run_hashes(codes: np.ndarray, length: int) -> np.ndarray:
+    """A hash of every run of ``length`` consecutive codes, from the two windows of a power of two that cover it."""
+    half = 1 << (length.bit_length() - 1)
+    h = window_hashes(codes, half)
+    return h if half == length else _mixed(h[: half - length] * _MULTIPLIER + h[length - half :])
+
+
+def _least(h: np.ndarray, n: int) -> np.ndarray:
+    """The minimum of every ``n`` consecutive values."""
+    width = 1
+    while width * 2 <= n:
+        h, width = np.minimum(h[:-width], h[width:]), width * 2
+    return np.minimum(h[: len(h) - (n - width)], h[n - width :]) if width < n else h
+
+
 def winnowed(codes: np.ndarray, gram: int, span: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the windows of ``gram`` codes that winnowing selects: one in every ``span`` codes at least."""
     if len(codes) < span:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     h = window_hashes(codes, gram)
     n = span - gram + 1
-    least, width = h, 1
-    while width * 2 <= n:
-        least, width = np.minimum(least[:-width], least[width:]), width * 2
-    if width < n:
-        least = np.minimum(least[: len(least) - (n - width)], least[n - width :])
+    least = _least(h, n)
     # least[i] is the minimum of h[i : i + n]; every position that has it is chosen, so ties are chosen alike in both texts
     chosen = np.zeros(len(h), bool)
     starts = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
@@ -182,6 +193,80 @@ def shared_pairs(df: DataFrame, key_col: str = "chunk_id", text_col: str = "text
     return across.union(inside).distinct()
 
 
+def _window_keys(rows: DataFrame, gram: int, span: int) -> DataFrame:
+    """(id, key, hash): the different selected windows of each text (id, key, text)."""
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [np.unique(winnowed(_codes(text), gram, span)[1]) for text in batch["text"]]
+            n = [len(h) for h in found]
+            if sum(n):
+                yield pd.DataFrame({"id": batch["id"].repeat(n), "key": batch["key"].repeat(n), "hash": np.concatenate(found).view(np.int64)})
+
+    return rows.mapInPandas(run, f"id {kind}, key bigint, hash bigint")
+
+
+def _candidate_runs(rows: DataFrame, gram: int, span: int) -> DataFrame:
+    """(id, key, pos, hash): the runs of ``span`` characters of each text (id, key, text, marks) whose selected window, the
+    one of least hash, is among ``marks``. Two equal runs select the same window, so no run that is shared is left out."""
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at, hashes = [], []
+            for text, marks in zip(batch["text"], batch["marks"]):
+                codes = _codes(text)
+                p = np.flatnonzero(np.isin(_least(window_hashes(codes, gram), span - gram + 1), np.asarray(marks, np.int64).view(np.uint64)))
+                at.append(p)
+                hashes.append(run_hashes(codes, span)[p])
+            n = [len(p) for p in at]
+            if sum(n):
+                yield pd.DataFrame({"id": batch["id"].repeat(n), "key": batch["key"].repeat(n), "pos": np.concatenate(at).astype(np.int32), "hash": np.concatenate(hashes).view(np.int64)})
+
+    return rows.mapInPandas(run, f"id {kind}, key bigint, pos int, hash bigint")
+
+
+def _held_elsewhere(rows: DataFrame) -> DataFrame:
+    """The rows (id, key, hash, ...) whose hash several keys have, with ``first_id``, the smallest id that has it. The rows
+    are shuffled once, for the count of keys and for the join with it."""
+    placed = rows.repartition("hash")
+    about = placed.groupBy("hash").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.min("id").alias("first_id")).where("low <> high")
+    return placed.join(about.select("hash", "first_id"), "hash")
+
+
+def _covered_by(positions: Column, width: int) -> Column:
+    """Characters covered by runs of ``width`` characters that start at ``positions``."""
+    zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
+    step = lambda acc, p: F.struct((p + width).alias("end"), (acc["n"] + p + width - F.greatest(acc["end"], p)).alias("n"))
+    return F.aggregate(F.array_sort(positions), zero, step, lambda acc: acc["n"])
+
+
+def shared_share(df: DataFrame, id_col: str = "row_id", key_col: str = "chunk_id", text_col: str = "text", min_chars: int = 200, gram: int = 64) -> DataFrame:
+    """(id, n_chars, shared_chars, shared_share, repeated_chars): how much of each record lies in runs of ``min_chars``
+    characters that records of another key hold too, and how much in runs whose first occurrence is elsewhere (smallest id).
+
+    These are the runs of ``shared_pairs``, but no pairs are made: a run is counted by its hash, so a passage that many
+    records hold costs what any other does. Only runs around a window that several keys have are hashed.
+    """
+    rows = df.where(F.col(key_col).isNotNull() & (F.length(text_col) >= min_chars)).select(F.col(id_col).alias("id"), F.xxhash64(F.col(key_col)).alias("key"), F.col(text_col).alias("text"))
+    marks = _held_elsewhere(_window_keys(rows, gram, min_chars)).groupBy("id").agg(F.collect_set("hash").alias("marks"))
+    hit = _held_elsewhere(_candidate_runs(rows.join(marks, "id"), gram, min_chars))
+    per = hit.groupBy("id").agg(
+        _covered_by(F.collect_set("pos"), min_chars).alias("shared_chars"), _covered_by(F.collect_set(F.when(F.col("id") != F.col("first_id"), F.col("pos"))), min_chars).alias("repeated_chars")
+    )
+    keys = df.select(F.col(id_col).alias("id"), F.col(key_col).alias("key"), F.length(text_col).alias("n_chars"))
+    return _shares(keys.join(per, "id", "left"), id_col, key_col)
+
+
+def _shares(out: DataFrame, id_col: str, key_col: str) -> DataFrame:
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    return out.select(
+        F.col("id").alias(id_col), F.col("key").alias(key_col), zero("n_chars"), zero("shared_chars"),
+        F.coalesce(F.col("shared_chars") / F.col("n_chars"), F.lit(0.0)).alias("shared_share"), zero("repeated_chars"),
+    )
+
+
 def sentence_runs(df: DataFrame, id_col: str, key_col: str, text_col: str, run: int = 3) -> DataFrame:
     """(id, key, start, stop, hash): every run of ``run`` consecutive sentences. A sentence is hashed once, with its white space
     unified, and a run by the hashes of its sentences."""
@@ -211,7 +296,7 @@ def _covered(runs: DataFrame) -> Column:
     )
 
 
-def shared_share(df: DataFrame, id_col: str = "row_id", key_col: str = "chunk_id", text_col: str = "text", run: int = 3) -> DataFrame:
+def sentence_share(df: DataFrame, id_col: str = "row_id", key_col: str = "chunk_id", text_col: str = "text", run: int = 3) -> DataFrame:
     """(id, n_chars, shared_chars, shared_share, repeated_chars): how much of each record lies in runs of sentences that
     records of another key hold too, and how much in runs whose first occurrence is elsewhere (smallest id)."""
     known = cut(sentence_runs(df, id_col, key_col, text_col, run))  # narrow, and read twice
@@ -221,9 +306,4 @@ def shared_share(df: DataFrame, id_col: str = "row_id", key_col: str = "chunk_id
     per = hit.groupBy("id").agg(_covered(hit).alias("shared_chars"))
     again = hit.where("id <> first_id")
     rep = again.groupBy("id").agg(_covered(again).alias("repeated_chars"))
-    out = keys.join(per, "id", "left").join(rep, "id", "left")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    return out.select(
-        F.col("id").alias(id_col), F.col("key").alias(key_col), zero("n_chars"), zero("shared_chars"),
-        F.coalesce(F.col("shared_chars") / F.col("n_chars"), F.lit(0.0)).alias("shared_share"), zero("repeated_chars"),
-    )
+    return _shares(keys.join(per, "id", "left").join(rep, "id", "left"), id_col, key_col)

@@ -79,6 +79,43 @@ def test_shared_share(spark):
     assert out[1].shared_share == 1 and out[1].repeated_chars == 0 and out[2].repeated_chars == len(body) and out[3].shared_chars == 0 and out[4].n_chars == 0
 
 
+def brute_shares(rows, n):
+    holders = {}
+    for i, key, text in rows:
+        for p in range(len(text or "") - n + 1):
+            holders.setdefault(text[p : p + n], []).append((key, i))
+    out = {}
+    for i, _, text in rows:
+        marks = [set(), set()]
+        for p in range(len(text or "") - n + 1):
+            held = holders[text[p : p + n]]
+            if len({k for k, _ in held}) > 1:
+                for kind in range(2 if min(x for _, x in held) != i else 1):
+                    marks[kind].update(range(p, p + n))
+        out[i] = (len(marks[0]), len(marks[1]))
+    return out
+
+
+def test_shared_share_of_few_sentences(spark):
+    one, two, long = "Amber " + "barrel canal " * 20 + "end.", prose(1, 2)[:-1] + " and " + prose(8, 3).lower().replace(".", ",") + ".", prose(5, 9)
+    rows = [(1, "a", one), (2, "b", one), (3, "c", two), (4, "d", prose(2, 2) + "\n" + two + " " + prose(3, 1)), (5, "e", long), (6, "f", prose(6, 1) + long[13:230] + "Z" + long[231:240])]
+    rows += [(7, "g", "x" * 900), (8, "h", "y" + "x" * 250), (9, "i", long[:199]), (10, "e", long + " " + long[300:520]), (11, "j", "ab-" * 400), (12, "k", "ab-" * 80 + "q" + "ab-" * 70), (13, "l", None), (14, "m", prose(9, 8)), (15, "m", prose(9, 8))]
+    df = spark.createDataFrame(rows, "row_id long, chunk_id string, text string")
+    out = {r.row_id: r for r in spans.shared_share(df).collect()}
+    assert {i: (r.shared_chars, r.repeated_chars) for i, r in out.items()} == brute_shares(rows, 200)
+    assert all(out[i].shared_share == 1 for i in (1, 2, 3)) and out[4].repeated_chars == len(two)
+    paired = {k for r in spans.shared_pairs(df).collect() for k in (r.a, r.b)}
+    assert paired == {r.chunk_id for r in out.values() if r.shared_chars}
+    assert spans.shared_share(df.limit(0)).count() == 0
+
+
+def test_sentence_share(spark):
+    body = "Amber one. Barrel two. Canal three."
+    df = spark.createDataFrame([(1, "a", body), (2, "b", "Draft four. " + body.replace(" B", "  B")), (3, "c", "Amber one. Barrel two.")], "row_id long, chunk_id string, text string")
+    out = {r.row_id: r for r in spans.sentence_share(df).collect()}
+    assert out[1].shared_share == 1 and out[2].repeated_chars == len(body) + 1 and out[3].shared_chars == 0
+
+
 # --- pieces
 
 
