@@ -164,13 +164,13 @@ def shared_pairs(df: DataFrame, key_col: str = "chunk_id", text_col: str = "text
     name = lambda cls, part: F.concat(F.hex(cls), F.lit("-"), F.hex(part.cast("bigint")))
     at = lambda tag: F.col(tag).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     part = lambda tag: F.shiftright(F.col(tag), 32).cast("int")
-    # Where runs lie on one diagonal window by window, one meeting in each stretch of half min_chars finds the run.
+    # Meetings of one diagonal that start less than gram apart lie in one run, so one in each stretch of gram finds them all.
     meetings = cut(
         prints.alias("x")
         .join(prints.alias("y"), "hash")
         .where(F.struct("x.cls", part("x.tag")) < F.struct("y.cls", part("y.tag")))
         .select(F.col("x.cls").alias("ca"), part("x.tag").alias("da"), at("x.tag").alias("pa"), F.col("y.cls").alias("cb"), part("y.tag").alias("db"), at("y.tag").alias("pb"))
-        .groupBy("ca", "da", "cb", "db", (F.col("pa") - F.col("pb")).alias("diagonal"), F.floor(F.col("pa") / (min_chars // 2)).alias("stretch"))
+        .groupBy("ca", "da", "cb", "db", (F.col("pa") - F.col("pb")).alias("diagonal"), F.floor(F.col("pa") / gram).alias("stretch"))
         .agg(F.min("pa").alias("pa"))
         .select(name(F.col("ca"), F.col("da")).alias("a"), name(F.col("cb"), F.col("db")).alias("b"), "pa", (F.col("pa") - F.col("diagonal")).cast("int").alias("pb"))
     )

@@ -57,6 +57,22 @@ def test_shared_pairs(spark):
     assert spans.shared_pairs(df.limit(0)).count() == 0
 
 
+def test_pairs_behind_a_differing_character(spark):
+    rng = np.random.default_rng(4)
+    letters = lambda n: "".join(rng.choice(list("abcdefghijklmnop"), n))
+    rows = []
+    while len(rows) < 60:  # a shorter run and a run of 200 with a selected window each in one stretch of 100, and none beyond
+        short, long, head = letters(70), letters(200), int(rng.integers(0, 100))
+        a, b = letters(head) + short + "X" + long, letters(head) + short + "Y" + long
+        both = [set(zip(*(x.tolist() for x in spans.winnowed(spans._codes(t), 64, 200)))) for t in (a, b)]
+        at = sorted(p for p, _ in both[0] & both[1])
+        inside = [p for p in at if p > head + 70]
+        if inside and all(any(q // 100 == p // 100 and q < head + 70 for q in at) for p in inside):
+            rows += [(f"a{len(rows)}", a), (f"b{len(rows)}", b)]
+    df = spark.createDataFrame(rows, "chunk_id string, text string")
+    assert {(r.a, r.b) for r in spans.shared_pairs(df).collect()} == brute_pairs(rows, 200)
+
+
 def test_periodic_texts(spark):
     rows = [("a", "x" * 40000), ("b", "y" + "x" * 40000 + "z"), ("c", "ab-" * 9000), ("d", "q" + "ab-" * 90), ("e", "x" * 199), ("f", " " * 5000 + "end")]
     df = spark.createDataFrame(rows, "chunk_id string, text string")
