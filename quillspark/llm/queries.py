@@ -50,6 +50,11 @@ def p3_sentences(spark: SparkSession, folder: str) -> DataFrame:
     return spans.sentence_share(_table(spark, folder, "epub"))
 
 
+def p3_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts without the sentences of repeated runs."""
+    return spans.without_repeats(_table(spark, folder, "epub"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """The rows that were split, from their pieces."""
     return splitting.pieces(_table(spark, folder, "epub")).where("piece = 0").select("row_id")
@@ -103,7 +108,7 @@ def p7_forms(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_lengths, p2_found, p2_shares, p3_found, p3_shares, p3_sentences, p4_found, p4_pieces,
+        p1_found, p1_lengths, p2_found, p2_shares, p3_found, p3_shares, p3_sentences, p3_kept, p4_found, p4_pieces,
         p5_found, p5_containers, p5_fill, p5_sizes, p6_found, p6_items, p7_found, p7_forms,
     )
 }

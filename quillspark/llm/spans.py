@@ -296,14 +296,45 @@ def _covered(runs: DataFrame) -> Column:
     )
 
 
+def _sentence_hits(df: DataFrame, id_col: str, key_col: str, text_col: str, run: int) -> DataFrame:
+    """The runs of sentences that several keys hold, with ``first_id``, the smallest id that has it."""
+    known = cut(sentence_runs(df, id_col, key_col, text_col, run))  # narrow, and read twice
+    about = known.groupBy("hash").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.min("id").alias("first_id")).where("low <> high")
+    return cut(known.join(about.select("hash", "first_id"), "hash"))
+
+
 def sentence_share(df: DataFrame, id_col: str = "row_id", key_col: str = "chunk_id", text_col: str = "text", run: int = 3) -> DataFrame:
     """(id, n_chars, shared_chars, shared_share, repeated_chars): how much of each record lies in runs of sentences that
     records of another key hold too, and how much in runs whose first occurrence is elsewhere (smallest id)."""
-    known = cut(sentence_runs(df, id_col, key_col, text_col, run))  # narrow, and read twice
-    about = known.groupBy("hash").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.min("id").alias("first_id")).where("low <> high")
-    hit = cut(known.join(about.select("hash", "first_id"), "hash"))
+    hit = _sentence_hits(df, id_col, key_col, text_col, run)
     keys = df.select(F.col(id_col).alias("id"), F.col(key_col).alias("key"), F.length(text_col).alias("n_chars"))
     per = hit.groupBy("id").agg(_covered(hit).alias("shared_chars"))
     again = hit.where("id <> first_id")
     rep = again.groupBy("id").agg(_covered(again).alias("repeated_chars"))
     return _shares(keys.join(per, "id", "left").join(rep, "id", "left"), id_col, key_col)
+
+
+def without_repeats(df: DataFrame, id_col: str = "row_id", key_col: str = "chunk_id", text_col: str = "text", run: int = 3) -> DataFrame:
+    """(id, text, dropped): every text less the sentences of runs whose first occurrence is elsewhere, and their number.
+
+    Other texts stay as they are. Between two sentences that remain stands the first line break that stood anywhere
+    between them, else the first space.
+    """
+    again = _sentence_hits(df, id_col, key_col, text_col, run).where("id <> first_id")
+    gone = again.groupBy("id").agg(F.collect_set(F.struct("start", "stop")).alias("gone"))
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(gone, "id", "left")
+    rows = with_once(rows, "s", F.when(F.col("gone").isNotNull(), sentence_spans(F.col("text"))))
+    text, empty = F.col("text"), F.lit("")
+    zero = F.struct(F.lit(0).alias("end"), empty.alias("sep"), empty.alias("out"), F.lit(0).alias("n"))
+
+    def step(acc: Column, x: Column) -> Column:
+        gap = F.substring(text, acc["end"] + 1, x["sent_start"] - acc["end"])
+        sep = F.when((acc["sep"] == "") | (F.contains(gap, F.lit("\n")) & ~F.contains(acc["sep"], F.lit("\n"))), gap).otherwise(acc["sep"])
+        inside = F.exists("gone", lambda g: (g["start"] <= x["sent_start"]) & (g["stop"] >= x["sent_end"]))
+        whole = F.concat(acc["out"], F.when(acc["out"] == "", empty).otherwise(sep), F.substring(text, x["sent_start"] + 1, x["sent_end"] - x["sent_start"]))
+        return F.struct(
+            x["sent_end"].alias("end"), F.when(inside, sep).otherwise(empty).alias("sep"), F.when(inside, acc["out"]).otherwise(whole).alias("out"), (acc["n"] + inside.cast("int")).alias("n")
+        )
+
+    left = with_once(rows, "left", F.when(F.col("gone").isNotNull(), F.aggregate("s", zero, step)))
+    return left.select(F.col("id").alias(id_col), F.when(F.col("gone").isNull(), text).otherwise(F.col("left.out")).alias(text_col), F.coalesce("left.n", F.lit(0)).alias("dropped"))

@@ -132,6 +132,15 @@ def test_sentence_share(spark):
     assert out[1].shared_share == 1 and out[2].repeated_chars == len(body) + 1 and out[3].shared_chars == 0
 
 
+def test_without_repeats(spark):
+    body = prose(1, 4)
+    texts = {1: body, 2: prose(2, 2) + "\n\n" + body + " " + prose(3, 1), 3: body.replace(" ", "  "), 4: prose(4, 3), 5: None, 6: "", 7: prose(5, 1) + " " + prose(6, 3), 8: prose(6, 3)}
+    df = spark.createDataFrame([(i, f"c{i}", t) for i, t in texts.items()], "row_id long, chunk_id string, text string")
+    out = {r.row_id: (r.text, r.dropped) for r in spans.without_repeats(df).collect()}
+    assert out == {i: (t, 0) for i, t in texts.items()} | {2: (prose(2, 2) + "\n\n" + prose(3, 1), 4), 3: ("", 4), 8: ("", 3)}
+    assert spans.without_repeats(df.limit(0)).count() == 0
+
+
 # --- pieces
 
 
