@@ -176,3 +176,12 @@ def test_cli(spark, tmp_path, capsys):
     spark.createDataFrame([(1, "Some words to cut. " * 30)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
     assert cli.main(["convert", str(tmp_path / "d"), "--out", str(tmp_path / "o"), "--chunk-size", "40", "--overlap", "5"]) == 0
     assert spark.read.json(str(tmp_path / "o")).count() >= 3
+
+
+def test_bench_names_what_it_skips():
+    import bench
+
+    some = bench.report({name: 1.0 for name in bench.HEADLINE[:-2]}, "/data/sf0.1/")
+    assert some["value"] is None and some["skipped"] == list(bench.HEADLINE[-2:]) and some["sf"] == "sf0.1"
+    every = bench.report({name: 1.0 for name in bench.HEADLINE}, "/data/sf0.1")
+    assert every["value"] == len(bench.HEADLINE) and every["skipped"] == []
