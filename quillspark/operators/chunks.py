@@ -72,13 +72,17 @@ def shingles(text: Column, size: int = 5) -> Column:
     return let(F.filter(F.split(fingerprint(text), " "), lambda x: x != ""), runs)
 
 
+def _grams(rows: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    return rows.select(F.col(id_col).alias("id"), F.explode(shingles(F.col(text_col), size)).alias("gram")).select("id", F.xxhash64("gram").alias("h"), "gram")
+
+
 def shared_shingles(rows: DataFrame, id_col: str, text_col: str = "text", size: int = 5) -> DataFrame:
     """(id, shingles, shared, first_shared): how many of a row's runs of words another row has too.
 
     One row for each input row with a run, not a row for each pair: counting holders of a run needs no pairs, so a run that
     a third of all rows hold costs no more than any other.
     """
-    grams = rows.select(F.col(id_col).alias("id"), F.explode(shingles(F.col(text_col), size)).alias("gram")).select("id", F.xxhash64("gram").alias("h"), "gram")
+    grams = _grams(rows, id_col, text_col, size)
     holders = grams.groupBy("h").agg(F.count("*").alias("holders"))
     marked = grams.join(holders, "h")
     return marked.groupBy("id").agg(
@@ -86,6 +90,16 @@ def shared_shingles(rows: DataFrame, id_col: str, text_col: str = "text", size:
     ).withColumnRenamed("id", id_col)
 
 
+def shingle_links(rows: DataFrame, id_col: str, text_col: str = "text", size: int = 5) -> DataFrame:
+    """(id, first_id, gram): the runs of words that rows share, each as a link to the least row that has it.
+
+    A run gives one link for each other row that has it, not one for each pair; all rows with one ``gram`` share it.
+    """
+    grams = _grams(rows, id_col, text_col, size)
+    first = grams.groupBy("h").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("h", "first_id")
+    return grams.join(first, "h").where("id > first_id").select(F.col("id").alias(id_col), "first_id", "gram")
+
+
 def repeated_sentences(rows: DataFrame, id_col: str, text_col: str = "text", least_words: int = 10) -> DataFrame:
     """(sentence, times, first_id): sentences of ten words or more that occur more than once, by their normalised text."""
     marked = F.regexp_replace(F.col(text_col), r"([.!?])\s+", "$1\n")

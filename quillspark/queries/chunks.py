@@ -57,6 +57,14 @@ def dup_shingles(spark: SparkSession, folder: str) -> DataFrame:
     return C.shared_shingles(_docs(spark, folder), "doc_id")
 
 
+@query(f"""WITH w AS (SELECT doc_id, list_filter(string_split({_FP}, ' '), lambda x: x <> '') AS w FROM documents),
+  g AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+  f AS (SELECT gram, min(doc_id) AS first_id FROM g GROUP BY gram)
+  SELECT doc_id, first_id, gram FROM g JOIN f USING (gram) WHERE doc_id > first_id""")
+def dup_shingle_links(spark: SparkSession, folder: str) -> DataFrame:
+    return C.shingle_links(_docs(spark, folder), "doc_id")
+
+
 @query(rf"""WITH s AS (SELECT doc_id, {s_normalized('s')} AS sentence FROM (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(10), 'g'), chr(10))) AS s FROM documents))
   SELECT sentence, count(*) AS times, min(doc_id) AS first_id FROM s WHERE len({s_words('sentence')}) >= 10 GROUP BY sentence HAVING count(*) > 1""")
 def dup_sentences(spark: SparkSession, folder: str) -> DataFrame:
