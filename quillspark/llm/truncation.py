@@ -2,9 +2,10 @@
 
 Method: per source, histograms of text length in characters and in bytes; a crowd of rows at the maximum is a limit, and
 a row in that crowd whose text has no terminal punctuation is cut. Cuts in transfer leave no crowd, so the end of every
-other text is judged too: a sign of omission or a broken character is a cut, a terminator is none, and an end without
-either is one unless a heading or list item *inside* the texts (which nothing can have cut) ends or looks the same.
-A longer delivery of the same chunk settles doubtful ends.
+other text is judged by its form: a sign of omission, a broken character, a bare list marker or an abbreviation that can't
+end a text is a cut; a terminator is none, an ellipsis counts as one; a list item and a line in the form of a heading are
+whole as written; a text in a script that ends sentences without a terminator is whole unless a vowel that leads its
+consonant comes last; any other open end is running text that was cut. No verdict depends on the words of other rows.
 
 Defined results: null and blank texts are not cut. A null source is read from the chunk id; a null chunk id too leaves
 the row to the judgement of its own end. Repeated rows are judged alike.
@@ -22,18 +23,25 @@ from .sentences import BEFORE_NUMBER, BLANKS, NEVER_LAST
 CROWD_WIDTH = 15
 #: Least chunks, and least share of the source's chunks, that make a crowd a limit.
 CROWD_ROWS, CROWD_SHARE = 3, 0.08
-#: The characters at the end of a text that signs, terminators and abbreviations are looked for in; none is longer.
+#: Signs, terminators and abbreviations at the end of a text are shorter than this; the patterns bound their blanks too.
 TAIL = 60
-
-SIGN = r"\s*(?:\[(?:\.{3}|…)\]?|>>|\(cont[^)\n]{0,20}\)?|\x{FFFD}+)$"
-ELLIPSIS = r"(?:\.{2,}|…+)[”’\"»」)]*$"
-STOPS = tuple(".!?。！？｡।॥؟;\u037e")
-CLOSERS = "”’\"'»“」』）)] "
-CUT_SIGN = r"\s*(?:\.{2,}|…+)[”’\"*»」)]*$"
-ITEM = r"[ \t]*(?:[•‣◦▪●○*\-]|\d{1,3}[.)])[ \t]"
+#: A heading has no more characters than this.
+HEADING_CHARS = 120
+
+SIGN = r"(?:\[(?:\.{3}|…)\]?|>>|\(cont[^)\n]{0,20}\)?|\x{FFFD})$"
+ELLIPSIS = r"(?:\.\.|…)[”’\"»」)]{0,4}$"
+STOPS = tuple(".!?。！？｡।॥؟;;")
+CLOSERS = "”’\"'»“』」）)] "
+MARKER = r"(?:[•‣◦▪●○*\-]|\d{1,3}[.)])"
+ITEM = rf"[ \t]*{MARKER}[ \t]"
 BLOCK = rf"\n[ \t]*\n\s*|\n(?={ITEM})"
-THAI, CJK = r"ก-๎", r"ぁ-ヿ㐀-鿿"
-THAI_RANGE, CJK_RANGES = (("ก", "๎"),), (("ぁ", "ヿ"), ("㐀", "鿿"))
+# Scripts whose sentences end without a terminator, and their vowels that lead a consonant; fixed values.
+NO_TERMINATOR, LEADING_VOWELS = (("ก", "๎"), ("ກ", "ໝ")), tuple("เแโใไເແໂໃໄ")
+# A word with a capital, a number, a small word within; words of scripts without case on both sides of a divider.
+CAPITAL, NUMBER, SMALL = r"\p{Lu}[\p{L}\p{M}\p{N}'’\-]*+", r"\p{N}[\p{N}.,]*+", r"\p{Ll}{1,4}"
+TITLE = rf"^(?:{CAPITAL}|{NUMBER})[:)]?(?:[  ]++(?:[–—:·/&]|(?:{CAPITAL}|{NUMBER}):?|{SMALL}))*?[  ]++(?:{CAPITAL}|{NUMBER})$"
+CASELESS = r"[\p{Lo}\p{Lm}\p{M}\p{N}]++(?: [\p{Lo}\p{Lm}\p{M}\p{N}]++){0,2}"
+DIVIDED = rf"^{CASELESS} ?[–—·|:] ?{CASELESS}$"
 
 
 def book_of(source: Column, chunk_id: Column) -> Column:
@@ -57,178 +65,94 @@ def _stops(tail: Column) -> Column:
     return F.right(F.rtrim(bare, F.lit(CLOSERS)), F.lit(1)).isin(*STOPS)
 
 
-def _last_token(text: Column) -> Column:
-    """What a text ends with: the last word, or some last characters where words aren't divided by spaces."""
-    word = F.substring_index(F.translate(text, "\n\u00a0", "  "), " ", -1)
-    return (
-        F.when(_last_in(text, THAI_RANGE), F.concat(F.lit("t:"), F.right(text, F.lit(4))))
-        .when(_last_in(text, CJK_RANGES), F.concat(F.lit("c:"), F.right(text, F.lit(2))))
-        .otherwise(F.concat(F.lit("w:"), word))
-    )
-
-
-def _shape(text: Column) -> Column:
-    """A line with numbers, capitalised words and words of caseless scripts replaced by one letter each."""
-    out = text
-    for pattern, letter in (
-        (r"\p{Lu}[\p{L}\p{M}'’\-]*", "C"),
-        (r"\d[\d.,]*", "9"),
-        (rf"[{CJK}]+", "H"),
-        (r"[가-힣]+", "G"),
-        (r"[ऀ-ॿ]+", "D"),
-        (r"[؀-ۿ]+", "A"),
-    ):
-        out = F.regexp_replace(out, pattern, letter)
-    return out
-
+def is_title(block: Column) -> Column:
+    """Whether a block has the form of a heading: words with capitals or numbers but for small ones within, two at least, or
+    words of a script without case around a divider. Null is none."""
+    short = F.length(block) <= HEADING_CHARS
+    return F.coalesce(short & (block.rlike(TITLE) | block.rlike(DIVIDED)), F.lit(False))
 
-def _last_sentence_words(text: Column) -> Column:
-    """Words behind the last terminator but the closing one, counted over the last 400 characters; no pattern, so linear."""
-    ends = ".!?…।؟"
-    tail = F.rtrim(F.right(text, F.lit(400)), F.lit(ends + "”’\"»)] "))
-    return F.size(F.split(F.trim(F.substring_index(F.translate(tail, ends, "." * len(ends)), ".", -1)), " "))
 
-
-def _features(df: DataFrame, id_col: str, text_col: str, chunk_col: str, source: Column) -> DataFrame:
-    """What the judgement needs of each row, without the text. Patterns run over the last characters, where they end."""
-    raw = F.col(text_col)
-    base = df.select(
-        F.col(id_col).alias("__id"), F.col(chunk_col).cast("string").alias("__chunk"), book_of(source, F.col(chunk_col)).alias("__book"),
-        F.length(raw).alias("__chars"), F.octet_length(raw).alias("__bytes"), F.rtrim(raw, F.lit(BLANKS)).alias("__text"),
-    )
-    base = base.withColumn("__tail", F.right("__text", F.lit(TAIL))).withColumn("__block", F.substring_index("__text", "\n\n", -1))
-    base = base.withColumn("__block", F.when(F.contains("__block", F.lit("\n")), F.element_at(F.split("__block", BLOCK), -1)).otherwise(F.col("__block")))
-    tail, never = F.col("__tail"), "|".join(w.replace(".", r"\.") for w in (*NEVER_LAST, *BEFORE_NUMBER))
-    end = (
+def ending(text: Column) -> Column:
+    """How a text ends: blank, sign, broken, ellipsis, stop, item, title, unmarked (no terminator in its script) or open."""
+    trimmed = F.rtrim(text, F.lit(BLANKS))
+    never = "|".join(w.replace(".", r"\.") for w in (*NEVER_LAST, *BEFORE_NUMBER))
+    tail = F.right(trimmed, F.lit(TAIL))
+    paragraph = F.substring_index(trimmed, "\n\n", -1)
+    block = F.when(F.contains(paragraph, F.lit("\n")), F.element_at(F.split(paragraph, BLOCK), -1)).otherwise(paragraph)
+    return (
         F.when(F.coalesce(tail, F.lit("")) == "", "blank")
         .when(tail.rlike(SIGN), "sign")
         .when(tail.rlike(ELLIPSIS), "ellipsis")
-        .when(tail.rlike(r"\n[ \t]*(?:[•‣◦▪●○*\-]|\d{1,3}[.)]?)$") | tail.rlike(rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{never}|\p{{Lu}})\.$"), "broken")
+        .when(tail.rlike(rf"\n[ \t]{{0,40}}{MARKER}$") | tail.rlike(rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{never}|\p{{Lu}})\.$"), "broken")
         .when(_stops(tail), "stop")
+        .when(_last_in(tail, NO_TERMINATOR) & ~F.right(tail, F.lit(1)).isin(*LEADING_VOWELS), "unmarked")
+        .when(block.rlike("^" + ITEM), "item")
+        .when(is_title(F.trim(block)), "title")
         .otherwise("open")
     )
-    base = base.withColumn("__end", end)
-    doubtful = F.col("__end").isin("open", "ellipsis")
-    core, whole_core = F.regexp_replace("__block", CUT_SIGN, ""), F.when(doubtful, F.regexp_replace("__text", CUT_SIGN, ""))
-    return base.withColumn("__core", whole_core).select(
-        "__id", "__chunk", "__book", "__chars", "__bytes", F.length("__text").alias("__n"), "__end",
-        F.col("__block").rlike("^" + ITEM).alias("__item"),
-        F.length("__core").alias("__core_n"), F.xxhash64("__core").alias("__core_hash"),
-        F.when(doubtful, _last_token(core)).alias("__token"),
-        F.when(F.col("__end") == "open", _shape(core)).alias("__shape"),
-        _last_sentence_words(core).alias("__words"),
+
+
+def _features(df: DataFrame, id_col: str, text_col: str, chunk_col: str, source: Column) -> DataFrame:
+    """What the judgement needs of each row, without the text."""
+    raw = F.col(text_col)
+    return df.select(
+        F.col(id_col).alias("__id"), F.col(chunk_col).cast("string").alias("__chunk"), book_of(source, F.col(chunk_col)).alias("__book"),
+        F.length(raw).alias("__chars"), F.octet_length(raw).alias("__bytes"), ending(raw).alias("__end"),
     )
 
 
 def limits(features: DataFrame) -> DataFrame:
-    """(book, measure, low, high): the crowds at the maximum length, in characters or bytes, of each source.
+    """(book, measure, low, near, high): the crowds at the maximum length, in characters or bytes, of each source.
 
-    A length is counted once for a chunk. The histogram has a row for each book and length, so the windows below hold no
-    more rows than a book has different lengths. Beside the crowds of the book itself, its maximum is a limit where the
-    same length is the exact limit of two other books or more.
+    A length is counted once for a chunk. The histogram has a row for each book and length, so nothing here is wider than
+    a book's different lengths. ``low`` to ``high`` is the crowd. A book without one, whose maximum lies up to the width of
+    a crowd below a length at which two other books or more have their exact limit, has that limit as well: rows of the
+    exact length are at it (``low``), and from ``near`` on those that end in an ellipsis.
     """
     sizes = F.expr("stack(2, 'chars', __chars, 'bytes', __bytes) as (measure, n)")
     hist = (
         features.where("__book is not null and __chars > 0").select("__book", "__chunk", sizes).distinct().groupBy("__book", "measure", "n").agg(F.count("*").alias("rows"))
     )
     top = hist.groupBy("__book", "measure").agg(F.max("n").alias("high"), F.sum("rows").alias("all_rows"))
+    from_top = F.col("high") - F.col("n")
+    rows_where = lambda condition: F.sum(F.when(condition, F.col("rows")).otherwise(0))
     crowd = (
         hist.join(top, ["__book", "measure"])
         .groupBy("__book", "measure", "high", "all_rows")
         .agg(
-            F.sum(F.when(F.col("n") >= F.col("high") - CROWD_WIDTH, F.col("rows")).otherwise(0)).alias("crowd"),
-            F.sum(F.when(F.col("n") == F.col("high"), F.col("rows")).otherwise(0)).alias("exact"),
-            F.sum(F.when((F.col("n") < F.col("high") - CROWD_WIDTH) & (F.col("n") >= F.col("high") - 4 * CROWD_WIDTH), F.col("rows")).otherwise(0)).alias("below"),
+            rows_where(from_top <= CROWD_WIDTH).alias("crowd"),
+            rows_where(from_top == 0).alias("exact"),
+            rows_where((from_top > CROWD_WIDTH) & (from_top <= 4 * CROWD_WIDTH)).alias("below"),
         )
     )
     own = (F.col("crowd") >= CROWD_ROWS) & (F.col("crowd") >= CROWD_SHARE * F.col("all_rows")) & (F.col("crowd") > F.col("below"))
-    crowd = crowd.withColumn("own", own)
-    known = crowd.where(F.col("own") & (F.col("exact") >= CROWD_ROWS)).groupBy("measure", "high").agg(F.count("*").alias("books")).where("books >= 2")
-    return crowd.join(known, ["measure", "high"], "left").where("own or books is not null").select(
-        F.col("__book"), "measure", F.when(F.col("own"), F.col("high") - CROWD_WIDTH).otherwise(F.col("high")).alias("low"), "high"
-    )
-
-
-def natural_ends(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """(kind, key): how headings, list items and Thai sentences end inside the texts, where nothing can have cut them."""
-    text = df.select(F.rtrim(F.col(text_col), F.lit(BLANKS)).alias("t"))
-    blocks = text.select(F.split("t", BLOCK).alias("bs")).select(F.explode(F.slice("bs", F.lit(1), F.greatest(F.size("bs") - 1, F.lit(0)))).alias("b"))
-    tail = F.right("b", F.lit(TAIL))
-    blocks = blocks.select(F.rtrim("b", F.lit(BLANKS)).alias("b")).where((F.col("b") != "") & ~_stops(tail) & ~tail.rlike(ELLIPSIS))
-    token, item = _last_token(F.col("b")), F.col("b").rlike("^" + ITEM)
-    pairs = F.when(item, F.array(F.struct(F.lit("item").alias("kind"), token.alias("key")))).otherwise(
-        F.array(F.struct(F.lit("head").alias("kind"), token.alias("key")), F.struct(F.lit("shape").alias("kind"), _shape(F.col("b")).alias("key")))
-    )
-    ends = blocks.where(~_last_in(F.col("b"), THAI_RANGE)).select(F.explode(pairs).alias("p")).select("p.kind", "p.key")
-    thai = (
-        text.where(F.col("t").rlike(rf"[{THAI}]"))
-        .select(F.explode(F.regexp_extract_all("t", F.lit(rf"([{THAI}]{{4}})(?=[ \n][{THAI}•\-\n\d])"), F.lit(1))).alias("end"))
-        .select(F.lit("thai").alias("kind"), F.concat(F.lit("t:"), F.col("end")).alias("key"))
-    )
-    counts = cut(ends.union(thai).groupBy("kind", "key").agg(F.count("*").alias("n")))  # read four times
-    script = F.when(F.col("kind") == "shape", "").otherwise(F.concat(F.left(F.regexp_replace("key", r"^w:[\P{L}]*", "w:"), F.lit(2)), F.floor(F.ascii(F.regexp_replace("key", r"^.:[^\p{L}]*", "")) / 128)))
-    totals = counts.groupBy("kind", script.alias("script")).agg(F.sum("n").alias("of"))
-    return (
-        counts.withColumn("script", script).join(F.broadcast(totals), ["kind", "script"]).where(F.col("n") >= F.greatest(F.lit(1), F.col("of") / 5000)).select("kind", "key")
-    )
+    crowd = cut(crowd.select("__book", "measure", "high", "exact", own.alias("own")))  # a row for each book, read twice
+    known = crowd.where(F.col("own") & (F.col("exact") >= CROWD_ROWS)).groupBy("measure", F.col("high").alias("limit")).agg(F.count("*").alias("books")).where("books >= 2")
+    reached = crowd.where("not own").select("__book", "measure", "high", F.explode(F.sequence(F.col("high"), F.col("high") + CROWD_WIDTH)).alias("limit"))
+    reached = reached.join(known.select("measure", "limit"), ["measure", "limit"]).groupBy("__book", "measure", "high").agg(F.min("limit").alias("limit"))
+    of_others = reached.select("__book", "measure", F.col("limit").alias("low"), (F.col("limit") - CROWD_WIDTH).alias("near"), F.col("limit").alias("high"))
+    low = F.col("high") - CROWD_WIDTH
+    return crowd.where("own").select("__book", "measure", low.alias("low"), low.alias("near"), "high").unionByName(of_others)
 
 
 def truncated(df: DataFrame, id_col: str = "row_id", text_col: str = "text", chunk_col: str = "chunk_id", source: Column | None = None) -> DataFrame:
     """One row per row of ``df``: its id, ``book``, ``ending`` and ``is_cut``."""
     source = F.col("metadata.source") if source is None else source
-    features = cut(_features(df, id_col, text_col, chunk_col, source))  # read four times; it holds no text
+    features = cut(_features(df, id_col, text_col, chunk_col, source))  # read twice; it holds no text
     at = limits(features).groupBy("__book").agg(
-        *(F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}") for m in ("chars", "bytes") for c in ("low", "high"))
+        *(F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}") for m in ("chars", "bytes") for c in ("low", "near", "high"))
     )
-    rows = features.join(at, "__book", "left").withColumn(
-        "__at_limit",
-        F.coalesce(F.col("__chars").between(F.col("chars_low"), F.col("chars_high")), F.lit(False))
-        | F.coalesce(F.col("__bytes").between(F.col("bytes_low"), F.col("bytes_high")), F.lit(False)),
-    )
-    doubtful = F.col("__end").isin("open", "ellipsis") & ~F.col("__at_limit")
-    sure = rows.where(~doubtful).select("__id", "__book", "__end", (F.col("__end").isin("sign", "broken") | (F.col("__at_limit") & F.col("__end").isin("open", "ellipsis"))).alias("is_cut"))
-
-    # The shortest last sentence that texts with a terminator have, so that "The copper..." isn't taken for a whole one.
-    least = features.where("__end = 'stop'").agg(F.coalesce(F.percentile_approx("__words", 0.02), F.lit(0)).alias("least_words"))
-    ends = natural_ends(df, text_col)
-    kind = F.when(F.col("__token").startswith("t:"), "thai").when(F.col("__item") | (F.col("__end") == "ellipsis"), "item").otherwise("head")
-    judged = (
-        rows.where(doubtful)
-        .withColumn("kind", kind)
-        .join(ends.where("kind <> 'shape'").select("kind", F.col("key").alias("__token"), F.lit(True).alias("ends_so")), ["kind", "__token"], "left")
-        .join(ends.where("kind = 'shape'").select(F.col("key").alias("__shape"), F.lit(True).alias("looks_so")), "__shape", "left")
-        .crossJoin(F.broadcast(least))
-        .withColumn(
-            "whole",
-            F.when(F.col("__end") == "ellipsis", F.col("ends_so") & (F.col("__words") >= F.col("least_words")) & F.col("__token").startswith("w:"))
-            .when(F.col("kind") == "head", F.col("ends_so") & F.col("looks_so"))
-            .otherwise(F.col("ends_so")),
-        )
-    )
-    judged = _by_siblings(judged, df, text_col, chunk_col)
-    return sure.unionByName(judged.select("__id", "__book", "__end", "is_cut")).select(
-        F.col("__id").alias(id_col), F.col("__book").alias("book"), F.col("__end").alias("ending"), F.coalesce("is_cut", F.lit(False)).alias("is_cut")
-    )
-
-
-def _by_siblings(judged: DataFrame, df: DataFrame, text_col: str, chunk_col: str) -> DataFrame:
-    """Settles a doubtful end by the longest delivery of the same chunk: what follows there, a line's end or more text.
-
-    The doubtful text itself isn't moved: the hash of its beginning in the longer delivery is compared with its own.
-    """
-    raw = df.select(F.col(chunk_col).cast("string").alias("__chunk"), F.col(text_col).alias("__full")).where("__chunk is not null and __full is not null")
-    several = raw.groupBy("__chunk").agg(F.count("*").alias("__c"), F.max(F.length("__full")).alias("__longest")).where("__c > 1").select("__chunk", "__longest")
-    longest = raw.join(several, "__chunk").where(F.length("__full") == F.col("__longest")).groupBy("__chunk").agg(F.min("__full").alias("__full"))
-    both = judged.join(longest, "__chunk", "left")
-    same = F.xxhash64(F.left("__full", F.col("__core_n"))) == F.col("__core_hash")
-    more = F.when(same & (F.length("__full") > F.col("__core_n")), F.substring("__full", F.col("__core_n") + 1, F.lit(3)))
-    return both.select("__id", "__book", "__end", "whole", "__n", F.length("__full").alias("__full_n"), more.alias("__more")).withColumn(
-        "is_cut",
-        F.when(F.col("__more").rlike(r"^\s?[.…]") & (F.col("__end") == "ellipsis"), False)
-        .when(F.col("__more").rlike(r"^\s*\n"), F.col("__end") == "ellipsis")
-        .when(F.col("__more").isNotNull() & (F.col("__full_n") > F.col("__n")), True)
-        .otherwise(~F.coalesce("whole", F.lit(False))),
+    within = lambda c: F.coalesce(
+        F.col("__chars").between(F.col(f"chars_{c}"), F.col("chars_high")), F.lit(False)
+    ) | F.coalesce(F.col("__bytes").between(F.col(f"bytes_{c}"), F.col("bytes_high")), F.lit(False))
+    end = F.col("__end")
+    is_cut = (
+        F.when(end.isin("sign", "broken", "open"), True)
+        .when(end.isin("item", "title", "unmarked"), within("low"))
+        .when(end == "ellipsis", within("near"))
+        .otherwise(False)
     )
+    return features.join(at, "__book", "left").select(F.col("__id").alias(id_col), F.col("__book").alias("book"), end.alias("ending"), is_cut.alias("is_cut"))
 
 
 def truncation_shares(cut: DataFrame) -> DataFrame:

@@ -37,6 +37,43 @@ def test_truncated(spark):
     assert truncation.truncated(df.limit(0), source=F.lit(None).cast("string")).count() == 0
 
 
+ENDINGS = {
+    "stop": ["It ends.", "«Fin» (oui !)", "He said “go.”[12]", "終わりました。", "ठीक है।"],
+    "ellipsis": ["It went on…", "It went on...", "She said “well…”"],
+    "sign": ["It went [...]", "It went >>", "It went (cont", "слов\ufffd"],
+    "broken": ["See the list:\n3.", "One.\n• ", "He met Dr."],
+    "item": ["All fine.\n\n• A copper notebook", "One.\n2. Das helle Regal", "- 静かな廊下"],
+    "title": ["End.\n\nShelf of the Nursery", "Brief – Theater", "Chapter 9: Fence Loom and the Oasis", "14 Shelf Nursery", "信号·一覧", "البئر – الطريق", "난로 – 사전"],
+    "unmarked": ["หอคอยไกล"],
+    "open": ["The open shelf delivered the early platf", "End.\n\nThe idle", "End.\n\nThe", "山のふもとで", "ท่าเรือเ", "One line\nand the", "Der helle Hügel sam"],
+    "blank": [None, "", " \n "],
+}
+
+
+def test_endings(spark):
+    rows = [(kind, text) for kind, texts in ENDINGS.items() for text in texts]
+    out = spark.createDataFrame(rows, "kind string, text string").select("kind", "text", truncation.ending(F.col("text")).alias("got")).collect()
+    assert [(r.text, r.got) for r in out] == [(r.text, r.kind) for r in out]
+
+
+def test_a_verdict_does_not_depend_on_other_rows(spark):
+    rows = [(i, f"b{i % 7}_p1_c{i}", "Amber one ends here. " * (i % 9 + 1) + end) for i, end in enumerate(["", "\n\n• A copper notebook", "The idle", "The quiet loom measured a gate…"] * 15)]
+    df = spark.createDataFrame(rows, "row_id long, chunk_id string, text string").withColumn("__id", F.lit("clash")).withColumn("book", F.lit("clash"))
+    none = F.lit(None).cast("string")
+    whole = {r.row_id: r.is_cut for r in truncation.truncated(df, source=none).collect()}
+    assert whole == {i: i % 4 == 2 for i in range(60)}
+    assert {r.row_id: r.is_cut for r in truncation.truncated(df.where("row_id < 20"), source=none).collect()} == {i: whole[i] for i in range(20)}
+
+
+def test_limits_of_other_books(spark):
+    row = lambda book, k, text: (f"{book}_p1_c{k}", text)
+    rows = [row(b, k, prose(k, 9)[:300]) for b in ("x", "y") for k in range(6)] + [row("z", k, prose(40 + k, 2)) for k in range(9)]
+    rows += [row("z", 20, prose(50, 9)[:290] + "…"), row("z", 21, prose(51, 9)[:120].rsplit(" ", 1)[0] + "…")]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "row_id long, chunk_id string, text string")
+    out = {r.row_id: r.is_cut for r in truncation.truncated(df, source=F.lit(None).cast("string")).collect()}
+    assert [out[k] for k in range(len(rows) - 2, len(rows))] == [True, False]
+
+
 # --- shared spans
 
 
