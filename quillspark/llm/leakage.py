@@ -6,8 +6,9 @@ the rarest in the corpus, is the necessary prefix of the window, and a window wi
 dropped unjoined. Documents join on the prefix shingles only; positions bound where the window must lie, and the window is
 compared with the document character by character.
 
-The items' shingles go to the tasks only if there are few (``max_probe``); beyond that the documents' winnowed windows
-meet the items' in a shuffle. Both ways give the same pairs.
+The shingles of a document are tested where the document is, against a table of bits of the items' shingles, which has one
+fixed size however many items there are. Only stretches of marked shingles long enough for a window leave the task. With more
+items more bits are set and a little more passes; the join and the comparison behind it are the same.
 
 Defined results: null ids, null texts and texts with fewer than ``min_chars`` letters have no pair; repeated rows give one.
 """
@@ -25,9 +26,12 @@ from pyspark.sql.window import Window
 from ..functions.text import with_once
 from .confusables import same_look
 from .lineage import cut
-from .spans import _codes, _common_runs, fingerprints, window_hashes
+from .spans import _codes, window_hashes
 
 GRAM = 32
+#: The table of bits has 2 ** BITS of them, 16 MB: at a hundred million shingles half of them are set, and a stretch of 49 that
+#: are set by chance is still out of the question.
+BITS = 27
 # Lower-case letters whose capitals have the shape of a Latin capital, and that letter; fixed values. n and v are one
 # letter here, since the Greek letter that looks like v is the small form of the one that looks like N.
 SMALL_OF_SAME_SHAPE = ("квнмтαβεζηικμνρτυχςn", "kbhmtabezhikmvptyxσv")
@@ -60,25 +64,32 @@ def _shingles(df: DataFrame, min_chars: int) -> DataFrame:
     return df.where(F.length("letters") >= min_chars).mapInPandas(run, f"id {kind}, pos int, hash bigint")
 
 
-def _probed(df: DataFrame, known: np.ndarray, min_chars: int) -> DataFrame:
-    """(id, pos, hash): the shingles of each text that are among ``known``, in stretches long enough for a window."""
+def _bit_table(shingles: DataFrame) -> np.ndarray:
+    """The items' shingles as bits, by the first BITS of their hashes; words are put together before they go to the driver, at
+    most 2 ** (BITS - 6) of them."""
+    bit = F.shiftrightunsigned("hash", 64 - BITS)
+    word = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))
+    words = shingles.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(word).alias("bits")).toPandas()
+    table = np.zeros(1 << (BITS - 6), np.uint64)
+    table[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    return table
+
+
+def _probed(df: DataFrame, table: np.ndarray, min_chars: int) -> DataFrame:
+    """(id, pos, hash): the shingles of each text that are marked in the table, in stretches long enough for a window."""
     kind = df.schema["id"].dataType.simpleString()
-    known = np.sort(known)
     least = min_chars - GRAM + 1
-    bits = 22
+    sent = df.sparkSession.sparkContext.broadcast(table.view(np.uint8))
+    to_bit, low = np.uint64(64 - BITS), np.uint64(7)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = np.zeros(1 << bits, bool)
-        first[known.view(np.uint64) >> np.uint64(64 - bits)] = True
+        marks = sent.value
         for batch in batches:
             ids, at, hashes = [], [], []
             for key, text in zip(batch["id"], batch["letters"]):
                 h = window_hashes(_codes(text), GRAM)
-                maybe = np.flatnonzero(first[h >> np.uint64(64 - bits)])
-                if len(maybe) < least:
-                    continue
-                own = h[maybe].view(np.int64)
-                maybe = maybe[known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own]
+                bit = h >> to_bit
+                maybe = np.flatnonzero((marks[bit >> np.uint64(3)] >> (bit & low).astype(np.uint8)) & np.uint8(1))
                 if len(maybe) < least:
                     continue
                 stretch = np.cumsum(np.r_[True, np.diff(maybe) != 1]) - 1
@@ -92,34 +103,23 @@ def _probed(df: DataFrame, known: np.ndarray, min_chars: int) -> DataFrame:
     return df.where(F.length("letters") >= min_chars).mapInPandas(run, f"id {kind}, pos int, hash bigint")
 
 
-def leaks(
-    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text_col: str = "text", min_chars: int = 80, max_probe: int = 4_000_000
-) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text_col: str = "text", min_chars: int = 80) -> DataFrame:
     """(doc_id, item_id): the documents and items that share a run of ``min_chars`` letters and digits."""
     corpus, tests = comparable(docs, doc_id, text_col), cut(comparable(items, item_id, text_col))
-    shingles = _shingles(tests, min_chars)
-    # The probe set is taken to the tasks only behind this check; one more row than allowed is enough to know.
-    few = shingles.select("hash").distinct().limit(max_probe + 1).toPandas()["hash"].to_numpy(np.int64)
-    if len(few) == 0:
-        return docs.select(F.col(doc_id), F.lit(None).cast(items.schema[item_id].dataType).alias(item_id)).where("false")
-    if len(few) <= max_probe:
-        hits = cut(_probed(corpus, few, min_chars))
-        rarity = hits.groupBy("hash").agg(F.count("*").alias("df"))
-        ranked = shingles.join(rarity, "hash", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-        ahead = Window.partitionBy("id").orderBy("pos").rowsBetween(0, min_chars - GRAM)
-        windows = ranked.select("id", "pos", F.min(F.struct("df", "hash", "pos")).over(ahead).alias("rare"), F.count("*").over(ahead).alias("n"))
-        windows = windows.where((F.col("n") == min_chars - GRAM + 1) & (F.col("rare.df") > 0))
-        prefix = windows.select(F.col("id").alias("item"), F.col("pos").alias("start"), F.col("rare.hash").alias("hash"), (F.col("rare.pos") - F.col("pos")).alias("offset"))
-    else:
-        hits = fingerprints(corpus, "id", "letters", GRAM, min_chars)
-        prefix = fingerprints(tests, "id", "letters", GRAM, min_chars).select(F.col("id").alias("item"), F.col("pos").alias("start"), "hash")
+    shingles = cut(_shingles(tests, min_chars))
+    hits = cut(_probed(corpus, _bit_table(shingles), min_chars))
+    rarity = hits.groupBy("hash").agg(F.count("*").alias("df"))
+    ranked = shingles.join(rarity, "hash", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    ahead = Window.partitionBy("id").orderBy("pos").rowsBetween(0, min_chars - GRAM)
+    windows = ranked.select("id", "pos", F.min(F.struct("df", "hash", "pos")).over(ahead).alias("rare"), F.count("*").over(ahead).alias("n"))
+    windows = windows.where((F.col("n") == min_chars - GRAM + 1) & (F.col("rare.df") > 0))
+    prefix = windows.select(F.col("id").alias("item"), F.col("pos").alias("start"), F.col("rare.hash").alias("hash"), (F.col("rare.pos") - F.col("pos")).alias("offset"))
     meet = cut(hits.select(F.col("id").alias("doc"), F.col("pos").alias("at"), "hash").join(prefix, "hash"))
     # Cut, for else the filters of the form are pushed below this join and run over the whole corpus again.
     met_docs = cut(docs.select(doc_id, text_col).join(meet.select(F.col("doc").alias(doc_id)).distinct(), doc_id, "left_semi"))
     texts = comparable(met_docs, doc_id, text_col).select(F.col("id").alias("doc"), F.col("letters").alias("dl"))
     probes = tests.select(F.col("id").alias("item"), F.col("letters").alias("il"))
-    verified = _exact_windows(meet, texts, probes, min_chars) if len(few) <= max_probe else _any_windows(meet, texts, probes, min_chars)
-    return verified.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id))
+    return _exact_windows(meet, texts, probes, min_chars).select(F.col("doc").alias(doc_id), F.col("item").alias(item_id))
 
 
 def _exact_windows(meet: DataFrame, texts: DataFrame, probes: DataFrame, min_chars: int) -> DataFrame:
@@ -127,12 +127,3 @@ def _exact_windows(meet: DataFrame, texts: DataFrame, probes: DataFrame, min_cha
     both = meet.where(F.col("at") >= F.col("offset")).join(probes, "item").select("doc", "item", (F.col("at") - F.col("offset")).alias("at"), F.substring("il", F.col("start") + 1, F.lit(min_chars)).alias("w"))
     side = both.distinct().join(texts, "doc")
     return side.where(F.substring("dl", F.col("at") + 1, F.lit(min_chars)) == F.col("w")).select("doc", "item").distinct()
-
-
-def _any_windows(meet: DataFrame, texts: DataFrame, probes: DataFrame, min_chars: int) -> DataFrame:
-    """(doc, item) of the meetings around which the letters agree over ``min_chars``, wherever the window begins."""
-    reach = min_chars - GRAM
-    near = lambda text, p: F.substring(text, F.greatest(p - reach, F.lit(0)) + 1, F.lit(reach + GRAM) + F.least(p, F.lit(reach)))
-    both = meet.join(probes, "item").select("doc", "item", "at", F.least("start", F.lit(reach)).alias("lead"), near(F.col("il"), F.col("start")).alias("w"))
-    side = both.join(texts, "doc").select("doc", "item", "lead", "w", F.least("at", F.lit(reach)).alias("dlead"), near(F.col("dl"), F.col("at")).alias("dw"))
-    return side.where(F.pandas_udf(_common_runs, "int")("w", "lead", "dw", "dlead") >= min_chars).select("doc", "item").distinct()

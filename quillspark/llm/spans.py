@@ -38,7 +38,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def window_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
     """A hash of every run of ``gram`` (a power of two) consecutive codes, by doubling: log2(gram) steps over the array."""
-    h, width, factor = _mixed(codes.astype(np.uint64) * _MULTIPLIER + np.uint64(1)), 1, _MULTIPLIER
+    h, width, factor = _mixed(codes.astype(np.uint64) * _MULTIPLIER + np.uint64(1)), 1, np.full(1, _MULTIPLIER)
     while width < gram:
         h = h[:-width] * factor + h[width:]
         factor, width = factor * factor, width * 2

@@ -236,11 +236,19 @@ def test_leaks(spark):
     docs = [(1, prose(3, 5) + item[10:190] + prose(4, 2)), (2, item.upper().replace("A", "А")), (3, bare[:79]), (4, item.replace(" ", " - ")), (5, prose(5, 9)), (6, None), (7, ""), (8, other + item), (8, other + item)]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     i = spark.createDataFrame([(10, item), (11, other), (12, "short"), (13, None)], "item_id long, text string")
-    for probe in (4_000_000, 1):
-        assert {(r.doc_id, r.item_id) for r in leakage.leaks(d, i, max_probe=probe).collect()} == {(1, 10), (2, 10), (4, 10), (8, 10), (8, 11)}
+    assert {(r.doc_id, r.item_id) for r in leakage.leaks(d, i).collect()} == {(1, 10), (2, 10), (4, 10), (8, 10), (8, 11)}
+    assert set(leakage.leaks(d.withColumn("id", F.lit("clash")), i.withColumn("letters", F.lit("clash"))).columns) == {"doc_id", "item_id"}
     assert leakage.leaks(d, i.limit(0)).count() == 0 and leakage.leaks(d.limit(0), i).count() == 0
 
 
+def test_leaks_through_a_full_table_of_bits(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "BITS", 7)  # every bit is set, so nothing is held back before the join
+    item = prose(1, 4)
+    d = spark.createDataFrame([(1, prose(3, 5) + item[10:190]), (2, prose(5, 9)), (3, item)], "doc_id long, text string")
+    i = spark.createDataFrame([(10, item), (11, prose(2, 4))], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in leakage.leaks(d, i).collect()} == {(1, 10), (3, 10)}
+
+
 # --- same look
 
 SAME = [
