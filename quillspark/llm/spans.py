@@ -1,15 +1,15 @@
 """Long exact spans shared between records (problem 3).
 
-Two layers:
-
-* ``sentence_runs`` / ``sentence_share`` / ``without_repeats``: the method named. Every run of several consecutive sentences
-  is hashed, the hashes meet in one global shuffle, and a sentence covered by a run that another record holds too is
-  shared; those covered by a run that isn't its first occurrence can be removed.
-* ``shared_pairs``: pairs of keys with a common run of ``min_chars`` characters, cut anywhere. Whole sentences can't find
-  such runs for certain (a run may begin and end inside long sentences), so the spans hashed here are the character
-  windows that winnowing selects: of every ``min_chars - gram + 1`` consecutive windows one is chosen by its hash alone,
-  hence both texts choose the same one in every common run, whatever surrounds it. An exact comparison around each meeting
-  follows, so nothing is lost and nothing is wrong. ``shared_share`` measures how much of each record lies in such runs.
+* ``shared_pairs``, by the method named: spans slide over the sentences of each text, each being the shortest run of whole
+  sentences from one on that has ``least`` characters. Spans are hashed, the hashes meet in one global shuffle, and around
+  each meeting the characters are compared exactly. A sentence of ``min_chars`` or more can hold a whole passage between its
+  ends, so it is cut further: the spans inside it are the windows that winnowing selects. What is not found is a passage of
+  ``min_chars`` whose whole sentences, less those at its two ends that it only touches, have under ``least`` characters.
+* ``sentence_share`` / ``without_repeats``: runs of a given number of sentences; a sentence covered by a run that another
+  record holds too is shared, and those covered by a run that isn't its first occurrence are removed.
+* ``shared_share``: how much of each record lies in runs of ``min_chars`` characters that others hold, from winnowed windows
+  alone: of every ``min_chars - gram + 1`` consecutive windows one is chosen by its hash, so all texts choose the same one in
+  every common run, whatever surrounds it.
 
 Defined results: null keys or texts and texts below ``min_chars`` have no pair and share 0. Rows of one key never form a pair. Rows
 with the same key and text count once.
@@ -92,24 +92,6 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def fingerprints(df: DataFrame, id_col: str, text_col: str, gram: int, span: int) -> DataFrame:
-    """(id, pos, hash): the selected windows of each text."""
-    kind = df.schema[id_col].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids, at, hashes = [], [], []
-            for key, text in zip(batch["id"], batch["text"]):
-                p, h = winnowed(_codes(text), gram, span)
-                ids.extend([key] * len(p))
-                at.append(p)
-                hashes.append(h)
-            if ids:
-                yield pd.DataFrame({"id": ids, "pos": np.concatenate(at).astype(np.int32), "hash": np.concatenate(hashes).view(np.int64)})
-
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") >= span).mapInPandas(run, f"id {kind}, pos int, hash bigint")
-
-
 def _common_run(a: str, at_a: int, b: str, at_b: int) -> int:
     """Length of the run that two strings share around two positions."""
     left = 0
@@ -126,41 +108,60 @@ def _common_runs(a: pd.Series, at_a: pd.Series, b: pd.Series, at_b: pd.Series) -
     return pd.Series([_common_run(*row) for row in zip(a, at_a, b, at_b)], dtype="int32")
 
 
-def _class_prints(rows: DataFrame, gram: int, span: int) -> DataFrame:
-    """(cls, tag, hash) of the selected windows of each text (cls, part, text); ``tag`` is ``part`` and the position.
+def _reach(spans: Column, i: Column, least: int) -> Column:
+    """The end of the shortest run of whole sentences from the ``i``-th on that has ``least`` characters; null if there is none.
+    The next two sentences mostly suffice; no run needs more than ``least`` of them, since each has a character."""
+    start = F.get(spans, i)["sent_start"]
+    nth = lambda k: F.get(spans, i + k)["sent_end"]
+    out = F.when(nth(0) - start >= least, nth(0)).when(nth(1) - start >= least, nth(1)).when(nth(2) - start >= least, nth(2))
+    later = F.filter(F.slice(spans, i + 4, F.lit(least)), lambda u: u["sent_end"] - start >= least)
+    return out.when(i + 3 < F.size(spans), F.get(later, F.lit(0))["sent_end"])
 
-    A text that a task has met already is passed over, so copies of one text give windows once for each task.
-    """
+
+def _class_spans(rows: DataFrame, least: int, min_chars: int) -> DataFrame:
+    """(cls, part, keys, long) of each different text of (cls, part, text): the places and hashes of its spans, and the places
+    and texts of its sentences of ``min_chars``. Copies of a text are put together before they are shuffled."""
+    base = with_once(rows, "s", sentence_spans(F.col("text")))
+    text = F.col("text")
+    every = F.transform("s", lambda u, i: F.struct(u["sent_start"].alias("pos"), _reach(F.col("s"), i, least).alias("stop")))
+    base = with_once(base.withColumn("r", F.col("s")), "r", F.filter(every, lambda r: r["stop"].isNotNull()))
+    keys = F.transform("r", lambda r: F.struct(r["pos"].alias("pos"), F.xxhash64(F.substring(text, r["pos"] + 1, r["stop"] - r["pos"])).alias("hash")))
+    whole = F.filter("s", lambda u: u["sent_end"] - u["sent_start"] >= min_chars)
+    long = F.transform(whole, lambda u: F.struct(u["sent_start"].alias("pos"), F.substring(text, u["sent_start"] + 1, u["sent_end"] - u["sent_start"]).alias("text")))
+    found = base.select("cls", "part", F.struct(keys.alias("keys"), long.alias("long")).alias("f"))
+    return found.groupBy("cls", "part").agg(F.first("f").alias("f")).select("cls", "part", "f.keys", "f.long")
+
+
+def _windows_within(rows: DataFrame, gram: int, span: int) -> DataFrame:
+    """(cls, tag, hash) of the selected windows of stretches of text (cls, part, pos, text)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            cls, tags, hashes = [], [], []
-            for c, part, text in zip(batch["cls"], batch["part"], batch["text"]):
-                if (c, part) in seen:
-                    continue
-                seen.add((c, part))
-                p, h = winnowed(_codes(text), gram, span)
-                cls.append(np.full(len(p), c, np.int64))
-                tags.append((np.int64(part) << np.int64(32)) | p.astype(np.int64))
-                hashes.append(h)
-            if cls:
-                yield pd.DataFrame({"cls": np.concatenate(cls), "tag": np.concatenate(tags), "hash": np.concatenate(hashes).view(np.int64)})
+            found = [winnowed(_codes(text), gram, span) for text in batch["text"]]
+            n = [len(p) for p, _ in found]
+            if sum(n):
+                tags = [(np.int64(part) << np.int64(32)) | (at.astype(np.int64) + pos) for part, pos, (at, _) in zip(batch["part"], batch["pos"], found)]
+                yield pd.DataFrame({"cls": batch["cls"].repeat(n), "tag": np.concatenate(tags), "hash": np.concatenate([h for _, h in found]).view(np.int64)})
 
     return rows.mapInPandas(run, "cls bigint, tag bigint, hash bigint")
 
 
-def shared_pairs(df: DataFrame, key_col: str = "chunk_id", text_col: str = "text", min_chars: int = 200, gram: int = 64) -> DataFrame:
+def shared_pairs(df: DataFrame, key_col: str = "chunk_id", text_col: str = "text", min_chars: int = 200, gram: int = 64, least: int = 80) -> DataFrame:
     """(a, b), a < b: the pairs of different keys that have a row each with an identical run of ``min_chars`` characters.
 
-    Identical texts are one class, known by 96 bits of hashes of the text: windows are made, joined and compared for
-    classes, and only the pairs of classes are expanded to keys at the end. Texts aren't shuffled for the windows; the
-    self-join on the window hash is an ordinary sort-merge join of three numbers a row, made from one exchange, whose
-    hot hashes adaptive execution splits. Only texts of classes that met are fetched for the comparison.
+    Identical texts are one class, known by 96 bits of hashes of the text: spans are joined and compared for classes, and
+    only the pairs of classes are expanded to keys at the end. Texts aren't shuffled for the spans; the self-join on their
+    hash is an ordinary sort-merge join of three numbers a row, made from one exchange, whose hot hashes adaptive
+    execution splits. Only texts of classes that met are fetched for the comparison.
     """
+    if not gram <= least <= min_chars:
+        raise ValueError("a span must have at least the characters of a window and at most those of a passage")
     rows = df.where(F.col(key_col).isNotNull() & (F.length(text_col) >= min_chars)).select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
     hashed = rows.select("key", F.xxhash64("text").alias("cls"), F.hash("text").alias("part"), "text")
-    prints = _class_prints(hashed.select("cls", "part", "text"), gram, min_chars)
+    spans = _class_spans(hashed.select("cls", "part", "text"), least, min_chars)
+    tag = F.shiftleft(F.col("part").cast("bigint"), 32).bitwiseOR(F.col("k.pos").cast("bigint"))
+    prints = spans.select("cls", "part", F.explode("keys").alias("k")).select("cls", tag.alias("tag"), "k.hash")
+    prints = prints.union(_windows_within(spans.select("cls", "part", F.inline("long")), gram, min_chars))
     name = lambda cls, part: F.concat(F.hex(cls), F.lit("-"), F.hex(part.cast("bigint")))
     at = lambda tag: F.col(tag).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     part = lambda tag: F.shiftright(F.col(tag), 32).cast("int")

@@ -94,6 +94,25 @@ def test_shared_pairs(spark):
     assert spans.shared_pairs(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_pairs_of_passages_cut_anywhere(spark, seed):
+    """Against brute force: passages of whole sentences and parts of such, in texts of their own and inside one long sentence."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k in range(40):
+        passage = prose(1000 + seed * 50 + k, 9)
+        if k % 4 == 3:
+            passage = passage.replace(".", ",").lower()
+        at = int(rng.integers(0, 120))
+        cut = passage[at : at + int(rng.integers(150, 420))]
+        rows += [(f"a{k}", prose(2 * k, 2) + " " + passage + " " + prose(2 * k + 1, 2)), (f"b{k}", prose(5000 + k, int(rng.integers(0, 3))) + cut + prose(6000 + k, 2))]
+    df = spark.createDataFrame(rows, "chunk_id string, text string").withColumn("cls", F.lit("clash")).withColumn("hash", F.lit("clash"))
+    found, true = {(r.a, r.b) for r in spans.shared_pairs(df).collect()}, brute_pairs(rows, 200)
+    assert found <= true
+    whole = {p for p in true if brute_pairs([r for r in rows if r[0] in p], 290)}  # room for a whole sentence and 80 characters
+    assert whole <= found and len(found) >= 0.9 * len(true)
+
+
 def test_pairs_behind_a_differing_character(spark):
     rng = np.random.default_rng(4)
     letters = lambda n: "".join(rng.choice(list("abcdefghijklmnop"), n))
