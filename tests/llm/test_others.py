@@ -225,7 +225,21 @@ def test_best_fit(sizes, capacities):
     assert (held <= caps).all() and (held > 0).all() and set(caps.tolist()) <= set(capacities)
     one = packing.best_fit(np.asarray(sizes, np.int64), (4096,))[1]
     assert len(one) <= max(1, -(-2 * sum(sizes) // 4096)) or not sizes
-    assert caps.sum() <= one.sum()
+    total = lambda caps: sum(packing.attention_cost(int(c)) for c in caps)
+    assert total(caps) <= total(one)
+
+
+def test_capacities_are_mixed():
+    rng = np.random.default_rng(3)
+    sizes = np.clip(rng.lognormal(6.7, 0.8, 4000).astype(np.int64), 1, 4096)
+    total = lambda caps: sum(packing.attention_cost(int(c)) for c in caps)
+    at, caps = packing.best_fit(sizes, (512, 1024, 2048, 4096))
+    kinds, n = np.unique(caps, return_counts=True)
+    assert kinds.tolist() == [512, 1024, 2048, 4096] and n.min() > 20
+    alone = [total(packing.best_fit(sizes[sizes <= c], (c,))[1]) for c in (4096,)]
+    fixed = [packing._fit(np.argsort(-sizes, kind="stable"), sizes, (512, 1024, 2048, 4096), packing.attention_cost, c)[1] for c in (512, 1024, 2048, 4096)]
+    assert total(caps) < 0.95 * alone[0] and total(caps) <= min(total(f) for f in fixed)
+    assert sizes.sum() / caps.sum() > 0.95
 
 
 def test_pack(spark):
