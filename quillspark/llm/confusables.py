@@ -24,6 +24,7 @@ from functools import cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .lineage import cut
 
@@ -112,6 +113,73 @@ def same_look(df: DataFrame, text_col: str = "text", out_col: str = "form") -> D
     return once.withColumn(out_col, F.when(F.col("__python"), F.col("__composed")).otherwise(F.col("__form"))).drop("__form", "__python", "__composed")
 
 
+@cache
+def code_point_rules() -> list[tuple[str, list[tuple[str, int, str, str]]]]:
+    """For each character with a part in the form, the characters it is decomposed into. Each of these has its combining class and,
+    if it composes with one before it, the characters it composes with and what they become, in the same order."""
+    table, nfd = code_point_map(), lambda t: unicodedata.normalize("NFD", t)
+    composed: dict[str, list[tuple[str, str]]] = {}
+    chars = set(table)
+    for cp in range(0xA0, sys.maxunicode + 1):
+        ch = chr(cp)
+        if 0xD800 <= cp < 0xE000 or unicodedata.category(ch) in ("Cn", "Co"):
+            continue
+        full = nfd(ch)
+        if full != ch:
+            chars.add(ch)
+            for at in range(1, len(full)):
+                first = unicodedata.normalize("NFC", full[:at])
+                if len(first) == 1 and at == len(full) - 1 and unicodedata.normalize("NFC", first + full[-1]) == ch:
+                    composed.setdefault(full[-1], []).append((first, ch))
+        elif unicodedata.combining(ch):
+            chars.add(ch)
+    part = lambda c: (c, unicodedata.combining(c), "".join(b for b, _ in composed.get(c, [])), "".join(x for _, x in composed.get(c, [])))
+    chars.update(composed)
+    return [(ch, [part(c) for c in nfd(table.get(ch, ch))]) for ch in sorted(chars)]
+
+
+def exploded_form(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, form): the form of ``same_look`` by the method named, row by row: texts beyond ASCII are exploded to positioned code
+    points, these are broadcast-joined with the table of decompositions and look-alikes, marks are ordered by class, composed
+    with their letters, and the strings are put together again. Repeated rows give one; null ids and texts none.
+
+    The table has one size, that of Unicode. Every code point is a row of two shuffles, so this serves to check ``same_look``,
+    which gives the same form (figures in the README).
+    """
+    rows = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ascii_only = F.octet_length("text") == F.length("text")
+    kind = "ch string, parts array<struct<c:string,ccc:int,before:string,becomes:string>>"
+    table = F.broadcast(df.sparkSession.createDataFrame(code_point_rules(), kind))
+    points = rows.where(~ascii_only).select("id", F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "")).alias("pos", "ch"))
+    alone = F.array(F.struct(F.col("ch").alias("c"), F.lit(0).alias("ccc"), F.lit("").alias("before"), F.lit("").alias("becomes")))
+    parts = points.join(table, "ch", "left").select("id", "t", "pos", F.posexplode(F.coalesce("parts", alone)).alias("k", "p")).distinct()
+    starts = ((F.col("p.ccc") == 0) & (F.col("p.before") == "")).cast("int")
+    placed = parts.withColumn("g", F.sum(starts).over(Window.partitionBy("id", "t").orderBy("pos", "k")))
+    # Canonical order within each stretch between letters that nothing before them can take in.
+    stretch = Window.partitionBy("id", "t", "g").orderBy("pos", "k")
+    placed = placed.withColumn("h", F.sum((F.col("p.ccc") == 0).cast("int")).over(stretch))
+    ordered = F.array_sort(F.collect_list(F.struct("h", "p.ccc", "pos", "k", "p.c", "p.before", "p.becomes")))
+    zero = F.struct(F.lit("").alias("done"), F.lit("").alias("letter"), F.lit("").alias("marks"), F.lit(-1).alias("last"))
+
+    def step(acc: Column, x: Column) -> Column:
+        at = F.when(acc["letter"] != "", F.instr(x["before"], acc["letter"])).otherwise(0)
+        # A mark is blocked by one of the same class, or a letter by any mark, that stands between and stayed.
+        free = F.when(acc["last"] == -1, True).otherwise((x["ccc"] != 0) & (acc["last"] < x["ccc"]))
+        joins = (at > 0) & free
+        new = (x["ccc"] == 0) & ~joins
+        return F.struct(
+            F.when(new, F.concat(acc["done"], acc["letter"], acc["marks"])).otherwise(acc["done"]).alias("done"),
+            F.when(joins, F.substring(x["becomes"], at, F.lit(1))).when(new, x["c"]).otherwise(acc["letter"]).alias("letter"),
+            F.when(joins, acc["marks"]).when(new, "").otherwise(F.concat(acc["marks"], x["c"])).alias("marks"),
+            F.when(joins, acc["last"]).when(new, F.lit(-1)).otherwise(x["ccc"]).alias("last"),
+        )
+
+    whole = F.aggregate(ordered, zero, step, lambda acc: F.concat(acc["done"], acc["letter"], acc["marks"]))
+    strings = placed.groupBy("id", "t", "g").agg(whole.alias("s")).groupBy("id", "t").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "s"))), lambda x: x["s"]), "").alias("form"))
+    back = rows.where(~ascii_only).select("id", F.xxhash64("text").alias("t")).distinct().join(strings, ["id", "t"], "left").select("id", F.coalesce("form", F.lit("")).alias("form"))
+    return rows.where(ascii_only).distinct().select("id", F.col("text").alias("form")).union(back).withColumnRenamed("id", id_col)
+
+
 def same_look_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(a, b), a < b: the pairs of rows whose texts differ but have one consistent form.
 

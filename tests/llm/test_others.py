@@ -304,3 +304,14 @@ def test_same_look(spark):
     assert confusables.same_look_pairs(df.limit(0)).count() == 0
     classes = {r.doc_id: (r.class_id, r.texts) for r in confusables.same_look_classes(df).collect()}
     assert classes[1] == (0, 2) and classes[1003] == (1002, 1)
+
+
+def test_exploded_form_is_the_same(spark):
+    rows = [(k, t) for k, t in enumerate(x for n, a, b in SAME + DIFFERENT for x in (f"{a} {n}", f"{b} {n}"))] + [(1000, None), (None, "é"), (1001, ""), (1002, "same"), (1002, "same"), (1003, "\u200b")]
+    rng = np.random.default_rng(1)
+    pool = list("aeéouiÅẤ字ﬁㅎがｶﾞ \u0301\u0323\u0308\u0300\u0327\u093c\u0928\u1100\u1161\u11a8\u0e49\u0e38с\u0456\u09c7\u09be\u200b")
+    rows += [(2000 + k, "".join(rng.choice(pool, 12))) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("pos", F.lit("clash")).withColumn("g", F.lit("clash"))
+    form = {r.doc_id: r.form for r in confusables.same_look(df).collect() if r.doc_id is not None and r.form is not None}
+    assert {r.doc_id: r.form for r in confusables.exploded_form(df).collect()} == form
+    assert confusables.exploded_form(df.limit(0)).count() == 0
