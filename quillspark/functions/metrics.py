@@ -42,9 +42,16 @@ def ligature_quality(text: Column) -> Column:
     return _score(1000.0 * (_count(text, r"[\x{FB00}-\x{FB4F}]") + _count(text, "[ﬀﬁﬂﬃﬄﬅﬆ﬈ﬗﬞ]")), F.length(text))
 
 
+#: Signs of joined or broken words, case ignored; fixed values.
+JOINING = (r"\b[a-z]+[A-Z][a-z]+\b", r"\b\w{1,2}\s+\w{1,2}\s+\w{1,2}\b", r"\b[a-z]+-\s*\n\s*[a-z]+\b", r"\b\w+\s+\w+(?=\w)", r"\b[a-z]+[0-9]+[a-z]+\b")
+
+
 def word_joining(text: Column) -> Column:
-    """Signs of joined or broken words by word, taken from 1."""
-    hits = _count(text, r"\b[a-z]+[A-Z][a-z]+\b") + _count(text, r"\b[a-z]+-\s*\n\s*[a-z]+\b") + _count(text, r"(?i)\b[a-z]+[0-9]+[a-z]+\b")
+    """Signs of joined or broken words by word, taken from 1. Case is ignored in the signs too, as in the scores to match, so most
+    words count as joined and ordinary prose scores 0."""
+    hits = F.lit(0)
+    for pattern in JOINING:
+        hits = hits + _count(text, "(?iU)" + pattern)
     return _score(hits.cast("double"), F.size(words(text)))
 
 
@@ -56,18 +63,19 @@ def flesch_kincaid(text: Column) -> Column:
 
 
 def difficulty(grade: Column) -> Column:
-    return F.when(grade <= 6, "elementary").when(grade <= 8, "middle_school").when(grade <= 12, "high_school").when(grade <= 16, "college").otherwise("graduate")
+    return F.when(grade <= 6, "elementary").when(grade <= 8, "middle_school").when(grade <= 12, "high_school").when(grade <= 16, "college_level").otherwise("graduate_level")
 
 
 def truncate_chunk(text: Column, limit: int = 8000) -> Column:
-    """At most ``limit`` characters, cut behind the last sentence, paragraph or word that ends in the last third."""
-    head = F.left(text, F.lit(limit))
-    cut = lambda tail: F.left(head, F.length(head) - F.length(tail))
-    sentence = F.substring_index(F.translate(head, "!?", ".."), ".", -1)
-    paragraph, word = F.substring_index(head, "\n\n", -1), F.substring_index(head, " ", -1)
-    fair = lambda tail: F.length(tail) < limit // 3
-    cut_head = F.when(fair(sentence), cut(sentence)).when(fair(paragraph), cut(paragraph)).when(fair(word), cut(word)).otherwise(head)
-    return F.when(F.length(text) <= limit, text).otherwise(strip(cut_head))
+    """At most ``limit`` less 100 characters of a text above the limit: cut behind the last sentence, else before the last blank line,
+    if that keeps more than 70 % of them, else at the last space if that keeps more than 80 %, else right there."""
+    room = limit - 100
+    head = F.left(text, F.lit(room))
+    place = lambda sep: F.when(F.contains(head, F.lit(sep)), F.length(head) - F.length(F.substring_index(head, sep, -1)) - len(sep)).otherwise(-1)
+    sentence = F.greatest(*(place(mark + gap) for mark in ".!?" for gap in " \n"))
+    paragraph, word = place("\n\n"), place(" ")
+    end = F.when(sentence > 0.7 * room, sentence + 1).when(paragraph > 0.7 * room, paragraph).when(word > 0.8 * room, word).otherwise(room)
+    return F.when(F.length(text) <= limit, text).otherwise(strip(F.left(text, end.cast("int"))))
 
 
 def split_short(text: Column) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.predicates import normalized
-from ..functions.text import let, with_once, words
+from ..functions.text import with_once, words
+from .adjacency import with_neighbour
 
 
 def word_windows(rows: DataFrame, id_col: str, text_col: str = "text", size: int = 400, overlap: int = 50) -> DataFrame:
@@ -37,16 +38,15 @@ def overlap_window(prev: Column, curr: Column, limit: int) -> Column:
     return F.when(most >= 1, F.coalesce(F.array_max(hits), F.lit(0))).otherwise(0)
 
 
-def neighbours(rows: DataFrame, group: list[str], order: list[str], text: str = "text") -> DataFrame:
-    """Adds ``next_text`` of the following row of the group."""
-    return rows.withColumn("next_text", F.lead(text).over(Window.partitionBy(*group).orderBy(*order)))
-
-
 def boundary_overlaps(rows: DataFrame, group: list[str], order: list[str], least: int = 5, most: int = 20) -> DataFrame:
-    """Rows whose last words, five to twenty, are the first of the next row, case ignored; adds ``overlap_words``."""
-    pairs = neighbours(rows, group, order).where("next_text is not null")
-    a, b = words(F.lower("text")), words(F.lower("next_text"))
-    return pairs.withColumn("overlap_words", overlap_window(F.slice(a, F.greatest(F.size(a) - most + 1, F.lit(1)), F.lit(most)), F.slice(b, F.lit(1), F.lit(most)), most)).where(F.col("overlap_words") >= least)
+    """Rows whose last words, five to twenty, are the first of the next row, case ignored; adds ``overlap_words``. Each text is
+    cut into words once, and only its first and last words meet those of its neighbours."""
+    edges = with_once(rows, "__w", words(F.lower("text"))).withColumns(
+        {"__tail": F.slice("__w", F.greatest(F.size("__w") - most + 1, F.lit(1)), F.lit(most)), "__head": F.slice("__w", F.lit(1), F.lit(most))}
+    )
+    pairs = with_neighbour(edges.drop("__w"), group, order, {"head": F.col("__head")}, "__next").where("__next.head is not null")
+    found = with_once(pairs, "overlap_words", overlap_window(F.col("__tail"), F.col("__next.head"), most))
+    return found.where(F.col("overlap_words") >= least).drop("__tail", "__head", "__next")
 
 
 def fingerprint(text: Column) -> Column:
@@ -62,42 +62,41 @@ def exact_duplicates(rows: DataFrame, id_col: str, text_col: str = "text") -> Da
     return first.join(second, "fp")
 
 
-def shingles(text: Column, size: int = 5) -> Column:
-    """ARRAY<STRING> of the different runs of ``size`` words of the fingerprint."""
-
-    def runs(w: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, size), " "))
-        return F.when(F.size(w) >= size, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
-
-    return let(F.filter(F.split(fingerprint(text), " "), lambda x: x != ""), runs)
-
-
-def _grams(rows: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    return rows.select(F.col(id_col).alias("id"), F.explode(shingles(F.col(text_col), size)).alias("gram")).select("id", F.xxhash64("gram").alias("h"), "gram")
+def _shingle_hashes(rows: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """(id, h, pos): the hash and first place, in words from 1, of each different run of ``size`` words of the fingerprint."""
+    w = with_once(rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "w", F.filter(F.split(fingerprint(F.col("text")), " "), lambda x: x != ""))
+    w = w.where(F.size("w") >= size).select("id", "w", F.sequence(F.lit(1), F.size("w") - size + 1).alias("at"))
+    runs = F.array_sort(F.transform("at", lambda i: F.struct(F.xxhash64(F.slice("w", i, size)).alias("h"), i.alias("pos"))))
+    once = with_once(w, "runs", runs).select("id", F.explode(F.filter("runs", lambda x, i: (i == 0) | (x["h"] != F.get("runs", i - 1)["h"]))).alias("r"))
+    return once.select("id", "r.h", "r.pos")
 
 
 def shared_shingles(rows: DataFrame, id_col: str, text_col: str = "text", size: int = 5) -> DataFrame:
-    """(id, shingles, shared, first_shared): how many of a row's runs of words another row has too.
+    """(id, shingles, shared, first_shared, least_holder): how many of a row's runs of words another row has too, the first of
+    them in the text, and the least row that has one of them.
 
     One row for each input row with a run, not a row for each pair: counting holders of a run needs no pairs, so a run that
-    a third of all rows hold costs no more than any other.
+    a third of all rows hold costs no more than any other. Hashes are shuffled; one run a row is read from its text again.
     """
-    grams = _grams(rows, id_col, text_col, size)
-    holders = grams.groupBy("h").agg(F.count("*").alias("holders"))
-    marked = grams.join(holders, "h")
-    return marked.groupBy("id").agg(
-        F.count("*").alias("shingles"), F.count_if(F.col("holders") > 1).alias("shared"), F.min(F.when(F.col("holders") > 1, F.col("gram"))).alias("first_shared")
-    ).withColumnRenamed("id", id_col)
+    at = _shingle_hashes(rows, id_col, text_col, size)
+    holders = at.groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    several = F.col("n") > 1
+    per = at.join(holders, "h").groupBy("id").agg(
+        F.count("*").alias("shingles"), F.count_if(several).alias("shared"), F.min(F.when(several, F.col("pos"))).alias("pos"), F.min(F.when(several, F.col("least"))).alias("least_holder")
+    )
+    texts = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).groupBy("id").agg(F.first("text").alias("text"))
+    w = F.filter(F.split(fingerprint(F.col("text")), " "), lambda x: x != "")
+    first = F.when(F.col("pos").isNotNull(), F.array_join(F.slice(w, F.col("pos"), F.lit(size)), " "))
+    return per.join(texts, "id").select(F.col("id").alias(id_col), "shingles", "shared", first.alias("first_shared"), "least_holder")
 
 
 def shingle_links(rows: DataFrame, id_col: str, text_col: str = "text", size: int = 5) -> DataFrame:
-    """(id, first_id, gram): the runs of words that rows share, each as a link to the least row that has it.
-
-    A run gives one link for each other row that has it, not one for each pair; all rows with one ``gram`` share it.
-    """
-    grams = _grams(rows, id_col, text_col, size)
-    first = grams.groupBy("h").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("h", "first_id")
-    return grams.join(first, "h").where("id > first_id").select(F.col("id").alias(id_col), "first_id", "gram")
+    """(id, first_id, runs): for each run of words that rows share, every other row is linked to the least that has it; ``runs`` are
+    those of a link. Rows share a run if one is linked to the other, or both to a third, so no link is lost, without a row for
+    each pair."""
+    at = _shingle_hashes(rows, id_col, text_col, size)
+    first = at.groupBy("h").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("h", "first_id")
+    return at.join(first, "h").where("id > first_id").groupBy(F.col("id").alias(id_col), "first_id").agg(F.count("*").alias("runs"))
 
 
 def repeated_sentences(rows: DataFrame, id_col: str, text_col: str = "text", least_words: int = 10) -> DataFrame:
@@ -126,10 +125,11 @@ def document_frequencies(weights: DataFrame) -> DataFrame:
 
 def boundary_queries(rows: DataFrame, group: list[str], order: list[str], id_col: str) -> DataFrame:
     """(id, next_id, query): the last five and first five tokens at each boundary of neighbours with ten tokens each."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    t = rows.select(F.col(id_col).alias("id"), tokens(F.col("text")).alias("t"), F.lead(id_col).over(w).alias("next_id"), F.lead(tokens(F.col("text"))).over(w).alias("u"))
-    both = t.where((F.size("t") >= 10) & (F.size("u") >= 10))
-    return both.select("id", "next_id", F.concat(F.slice("t", F.size("t") - 4, F.lit(5)), F.slice("u", F.lit(1), F.lit(5))).alias("query"))
+    t = with_once(rows.select(F.col(id_col).alias("__id"), *group, *(c for c in order if c != id_col), *([id_col] if id_col in order else []), "text"), "t", tokens(F.col("text"))).drop("text")
+    edges = t.select(*(c for c in t.columns if c != "t"), F.size("t").alias("__n"), F.slice("t", F.greatest(F.size("t") - 4, F.lit(1)), F.lit(5)).alias("__tail"), F.slice("t", F.lit(1), F.lit(5)).alias("__head"))
+    edges = edges.withColumn("__tail", F.when(F.col("__n") >= 10, F.col("__tail")))
+    both = with_neighbour(edges, group, order, {"id": F.col("__id"), "n": F.col("__n"), "head": F.col("__head")}, "u").where("__n >= 10 and u.n >= 10")
+    return both.select(F.col("__id").alias("id"), F.col("u.id").alias("next_id"), F.concat("__tail", "u.head").alias("query"))
 
 
 def retrieve(queries: DataFrame, weights: DataFrame, n_rows: Column | int, k: int = 3) -> DataFrame:

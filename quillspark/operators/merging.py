@@ -7,50 +7,87 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import predicates as P
-from ..functions.text import n_words, strip, words
+from ..functions.text import BULLETS, let, lstrip, n_words, strip, with_once, words
+from .adjacency import with_neighbour
 from .chunks import overlap_window
 
-ATTRIBUTION = r"(?i)^(?:said|asked|replied|answered|whispered|shouted|he said|she said)\b"
+# Verbs of saying; fixed values.
+DIALOGUE_VERBS = (
+    "said replied asked answered continued added noted observed remarked stated declared exclaimed whispered shouted muttered explained insisted argued suggested wondered thought concluded"
+).split()
+# Words that carry on a list item though they begin with a capital; fixed values.
+CARRY_ON = "and or but which that because since although however therefore thus also as if when where for to with without".split()
 
 
-def merge_reason(curr: Column, following: Column) -> Column:
-    """Why a chunk should take in the next one: attribution, an unfinished sentence, a very short or a related short one."""
-    a, b = n_words(curr), n_words(following)
+def merge_reason(curr: Column, next_words: Column, next_upper: Column) -> Column:
+    """Why a chunk should take in the next one, of which only the number of words and whether it begins with a capital are asked.
+
+    Tried in order: a short phrase of saying, a short unended sentence, a fragment, a short chunk before a short one, and any
+    chunk before a very short one."""
+    w, text = words(curr), strip(curr)
+    n, ended = F.size(w), P.ends_with_any(text, (".", "!", "?"))
     return (
-        F.when(F.coalesce(strip(following).rlike(ATTRIBUTION), F.lit(False)) & (b <= 6), "dialogue_attribution")
-        .when(~P.has_sentence_ending(curr) & P.starts_lower(strip(following)), "incomplete_sentence")
-        .when(a <= 4, "very_short_fragment")
-        .when((a <= 9) & (b <= 9), "related_short")
-        .when(b <= 4, "next_very_short")
+        F.when((n <= 6) & F.exists(w, lambda x: F.lower(x).isin(*DIALOGUE_VERBS)), "short_dialogue_attribution")
+        .when((n <= 6) & ~ended & ~next_upper, "incomplete_sentence")
+        .when(n <= 4, "very_short_fragment")
+        .when((n <= 9) & (next_words <= 12) & ~ended, "related_short_chunks")
+        .when(next_words <= 9, "next_chunk_very_short")
     )
 
 
+def merge_reasons(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Adds ``reason`` to rows with a next row of the group; neither may be blank."""
+    text = strip(F.col("text"))
+    values = {"n": n_words(F.col("text")), "upper": text.rlike(r"^\p{Lu}")}
+    pairs = with_neighbour(rows, group, order, values, "__next").where((text != "") & (F.col("__next.n") > 0))
+    return pairs.withColumn("reason", merge_reason(F.col("text"), F.col("__next.n"), F.col("__next.upper"))).drop("__next")
+
+
 def question_confidence(prev: Column, curr: Column) -> Column:
-    """How surely a line answers the question before it."""
-    asks = F.coalesce(strip(prev).rlike(r"\?[\"')]*$"), F.lit(False))
-    labelled = prev.rlike(r"(?i)^\s*(?:q|question)\s*[:.]") & curr.rlike(r"(?i)^\s*(?:a|answer)\s*[:.]")
-    return F.when(F.coalesce(labelled, F.lit(False)), 0.95).when(asks & P.starts_lower(strip(curr)), 0.9).when(asks & ~P.is_heading(curr), 0.5).otherwise(0.1)
+    """How surely a line goes on with the questions and answers (``Q1:``, ``A1:``) of the line before it."""
+    text = lstrip(curr)
+    before, here = F.coalesce(prev.rlike(r"(?i)[QA]\d+:"), F.lit(False)), F.coalesce(text.rlike(r"(?i)^[QA]\d+:"), F.lit(False))
+    answer = F.coalesce(text.rlike(r"^\p{Lu}") & (F.length(text) > 20), F.lit(False))
+    return F.when(before & here, 0.95).when(here, 0.7).when(before & answer, 0.6).when(before, 0.4).otherwise(0.1)
+
+
+def is_list_item(text: Column) -> Column:
+    return P.starts_with_bullet(lstrip(text)) | P.starts_with_number(lstrip(text))
+
+
+def item_looks_incomplete(text: Column) -> Column:
+    """Whether a list item seems to go on: a comma or colon at its end, few words, no end, or something left open."""
+    body = lstrip(F.regexp_replace(strip(text), rf"^(?:[{BULLETS}]|-\s|\d+[.)])", ""))
+
+    def judged(b: Column) -> Column:
+        n = n_words(b)
+        count = lambda ch: F.length(b) - F.length(F.replace(b, F.lit(ch), F.lit("")))
+        left_open = (count("(") > count(")")) | (count("[") > count("]")) | (count("{") > count("}")) | (count('"') % 2 != 0)
+        return (n <= 5) | ((n <= 7) & ~P.ends_with_any(b, (".", "!", "?"))) | P.ends_with_any(b, (",", ";", ":")) | left_open
+
+    return F.coalesce(let(body, judged), F.lit(True))
 
 
 def list_continuation_confidence(prev: Column, curr: Column) -> Column:
-    """How surely a line continues the list item before it: 0.8 if that looks unfinished, else 0.3, and more for signs of it."""
-    item = P.starts_with_bullet(prev) | P.starts_with_number(prev)
-    base = F.when(item & ~P.has_sentence_ending(prev), 0.8).otherwise(0.3)
-    bonus = F.when(P.starts_lower(strip(curr)), 0.15).otherwise(0.0) + F.when(F.coalesce(strip(curr).rlike(r"(?i)^(?:and|or|but)\b"), F.lit(False)), 0.1).otherwise(0.0)
-    return F.round(F.least(F.lit(1.0), base + bonus), 6)
+    """How surely a line continues the list item before it; 0 where that is none or the line is an item itself."""
+    text = strip(curr)
+    base = F.when(item_looks_incomplete(prev), 0.8).otherwise(0.3)
+    bonus = F.when(P.starts_lower(text), 0.15).when(text.rlike(r"^\p{Lu}") & F.lower(F.get(words(text), F.lit(0))).isin(*CARRY_ON), 0.1).otherwise(0.0)
+    possible = (F.coalesce(prev, F.lit("")) != "") & (text != "") & is_list_item(prev) & ~is_list_item(curr)
+    return F.when(F.coalesce(possible, F.lit(False)), F.round(F.least(F.lit(1.0), base + bonus), 6)).otherwise(0.0)
 
 
 def with_overlap_restored(rows: DataFrame, group: list[str], order: list[str], overlap: int = 5) -> DataFrame:
     """Adds ``restored``: the text behind those of the last ``overlap`` words of the row before that it doesn't begin with."""
-    prev = F.lag("text").over(Window.partitionBy(*group).orderBy(*order))
-    out = rows.withColumn("__p", words(prev)).withColumn("__w", words(F.col("text")))
-    tail = F.slice("__p", F.greatest(F.size("__p") - overlap + 1, F.lit(1)), F.lit(overlap))
-    shared = overlap_window(tail, F.col("__w"), overlap)
+    w = with_once(rows, "__w", words(F.col("text")))
+    edges = w.withColumns({"__tail": F.slice("__w", F.greatest(F.size("__w") - overlap + 1, F.lit(1)), F.lit(overlap)), "__head": F.slice("__w", F.lit(1), F.lit(overlap))}).drop("__w")
+    out = with_neighbour(edges, group, order, {"tail": F.col("__tail")}, "__prev", ahead=False)
+    tail = F.col("__prev.tail")
+    shared = overlap_window(tail, F.col("__head"), overlap)
     lead = F.array_join(F.slice(tail, F.lit(1), F.greatest(F.size(tail) - shared, F.lit(0))), " ")
-    return out.withColumn("restored", F.when(F.size("__p") > 0, F.trim(F.concat_ws(" ", lead, "text"))).otherwise(F.col("text"))).drop("__p", "__w")
+    return out.withColumn("restored", F.when(F.size(tail) > 0, F.trim(F.concat_ws(" ", lead, "text"))).otherwise(F.col("text"))).drop("__tail", "__head", "__prev")
 
 
 def hold_short(rows: DataFrame, min_words: int = 15, max_chars: int = 2000) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import metrics as M
 from ..functions import predicates as P
-from ..functions.text import n_words, strip, words
+from ..functions.text import n_words, strip, with_once, words
+from .adjacency import with_neighbour
 from .blocks import lines_as_blocks
 
 
@@ -22,9 +22,9 @@ def size_statistics(rows: DataFrame) -> DataFrame:
 
 
 def short_buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, chunks) by words: up to 5, 10, 15, and more. Null counts as no word."""
+    """(bucket, chunks) by words: up to 9, 12, 15, and more. Null counts as no word."""
     w = F.greatest(F.coalesce(n_words(F.col("text")), F.lit(0)), F.lit(0))
-    bucket = F.when(w <= 5, "very_short").when(w <= 10, "short").when(w <= 15, "minimal").otherwise("normal")
+    bucket = F.when(w <= 9, "very_short").when(w <= 12, "short").when(w <= 15, "minimal").otherwise("normal")
     return rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("chunks"))
 
 
@@ -35,15 +35,21 @@ def validation(rows: DataFrame) -> DataFrame:
 
 
 def flow(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """By group: transitions between neighbours, and those that break a sentence, a word or a short chunk's continuation."""
-    pairs = rows.select(*group, *order, strip(F.col("text")).alias("a")).withColumn("b", F.lead("a").over(Window.partitionBy(*group).orderBy(*order)))
-    pairs = pairs.where("b is not null and a <> '' and b <> ''").withColumn("wa", words(F.col("a"))).withColumn("wb", words(F.col("b")))
-    last, first = F.try_element_at("wa", F.lit(-1)), F.try_element_at("wb", F.lit(1))
+    """By group: transitions between neighbours, and those that break a sentence, a word or a short chunk's continuation. What is
+    asked of a text is taken from it first; only that meets the next row."""
+    text = rows.select(*group, *order, strip(F.col("text")).alias("a"))
+    w = with_once(text, "w", words(F.col("a")))
+    last, first = F.try_element_at("w", F.lit(-1)), F.try_element_at("w", F.lit(1))
+    edges = w.select(
+        *group, *order, (F.col("a") != "").alias("filled"), F.size("w").alias("n"), P.ends_with_any(F.col("a")).alias("closed"), P.ends_with_any(F.col("a"), (".", "!", "?")).alias("stopped"),
+        (F.length(last) < 4).alias("short_last"), P.starts_lower(F.col("a")).alias("small"), ((F.length(first) < 8) & P.starts_lower(first)).alias("small_first"),
+    )
+    pairs = with_neighbour(edges, group, order, {c: F.col(c) for c in ("filled", "n", "small", "small_first")}, "b").where("filled and b.filled")
     return pairs.groupBy(*group).agg(
         F.count("*").alias("transitions"),
-        F.count_if(~P.ends_with_any(F.col("a")) & P.starts_lower(F.col("b"))).alias("abrupt"),
-        F.count_if((F.length(last) < 4) & (F.length(first) < 8) & P.starts_lower(first)).alias("word_splits"),
-        F.count_if((F.size("wa") <= 5) & (F.size("wb") <= 10) & ~P.ends_with_any(F.col("a"), (".", "!", "?"))).alias("continuations"),
+        F.count_if(~F.col("closed") & F.col("b.small")).alias("abrupt"),
+        F.count_if(F.col("short_last") & F.col("b.small_first")).alias("word_splits"),
+        F.count_if((F.col("n") <= 5) & (F.col("b.n") <= 10) & ~F.col("stopped")).alias("continuations"),
     )
 
 

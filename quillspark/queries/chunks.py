@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import predicates as P
 from ..functions.text import words
@@ -12,6 +11,7 @@ from ..operators import chunks as C
 from ..operators import provenance as V
 from ..operators import quality as Q
 from ..operators import rules as R
+from ..operators.adjacency import with_neighbour
 from ._base import LINES_SQL, query, s_ended, s_normalized, s_strip, s_words, table
 
 
@@ -49,18 +49,18 @@ def dup_exact(spark: SparkSession, folder: str) -> DataFrame:
     return C.exact_duplicates(_docs(spark, folder), "doc_id")
 
 
-@query(f"""WITH w AS (SELECT doc_id, list_filter(string_split({_FP}, ' '), lambda x: x <> '') AS w FROM documents),
-  g AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
-  h AS (SELECT gram, count(*) AS holders FROM g GROUP BY gram)
-  SELECT doc_id, count(*) AS shingles, count(*) FILTER (holders > 1) AS shared, min(CASE WHEN holders > 1 THEN gram END) AS first_shared FROM g JOIN h USING (gram) GROUP BY doc_id""")
+_GRAMS = f"""w AS (SELECT doc_id, list_filter(string_split({_FP}, ' '), lambda x: x <> '') AS w FROM documents),
+  g AS (SELECT doc_id, array_to_string(w[i : i + 4], ' ') AS gram, min(i) AS pos FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5) GROUP BY ALL),
+  h AS (SELECT gram, count(*) AS n, min(doc_id) AS least FROM g GROUP BY gram)"""
+
+
+@query(f"""WITH {_GRAMS} SELECT doc_id, count(*) AS shingles, count(*) FILTER (n > 1) AS shared, arg_min(CASE WHEN n > 1 THEN gram END, CASE WHEN n > 1 THEN pos END) AS first_shared,
+  min(CASE WHEN n > 1 THEN least END) AS least_holder FROM g JOIN h USING (gram) GROUP BY doc_id""")
 def dup_shingles(spark: SparkSession, folder: str) -> DataFrame:
     return C.shared_shingles(_docs(spark, folder), "doc_id")
 
 
-@query(f"""WITH w AS (SELECT doc_id, list_filter(string_split({_FP}, ' '), lambda x: x <> '') AS w FROM documents),
-  g AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
-  f AS (SELECT gram, min(doc_id) AS first_id FROM g GROUP BY gram)
-  SELECT doc_id, first_id, gram FROM g JOIN f USING (gram) WHERE doc_id > first_id""")
+@query(f"WITH {_GRAMS} SELECT doc_id, least AS first_id, count(*) AS runs FROM g JOIN h USING (gram) WHERE doc_id > least GROUP BY ALL")
 def dup_shingle_links(spark: SparkSession, folder: str) -> DataFrame:
     return C.shingle_links(_docs(spark, folder), "doc_id")
 
@@ -143,7 +143,7 @@ def stats_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return Q.size_statistics(_epub(spark, folder))
 
 
-@query(f"""SELECT CASE WHEN w <= 5 THEN 'very_short' WHEN w <= 10 THEN 'short' WHEN w <= 15 THEN 'minimal' ELSE 'normal' END AS bucket, count(*) AS chunks FROM (SELECT coalesce(len({s_words('text')}), 0) AS w FROM epub) GROUP BY 1""")
+@query(f"""SELECT CASE WHEN w <= 9 THEN 'very_short' WHEN w <= 12 THEN 'short' WHEN w <= 15 THEN 'minimal' ELSE 'normal' END AS bucket, count(*) AS chunks FROM (SELECT coalesce(len({s_words('text')}), 0) AS w FROM epub) GROUP BY 1""")
 def stats_short_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return Q.short_buckets(_epub(spark, folder))
 
@@ -232,9 +232,8 @@ def source_match(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""SELECT row_id, text, CASE WHEN lower(regexp_extract(ltrim(text), '^([\\p{{L}}\\p{{N}}_'']+)', 1)) IN ({', '.join(repr(w) for w in P.CONTINUATION_LEADS)}) AND prev IS NOT NULL AND NOT {s_ended('prev')} THEN true ELSE false END AS needs_context
   FROM (SELECT row_id, text, lag(text) OVER ({_ORDER}) AS prev FROM epub)""")
 def continuation_context(spark: SparkSession, folder: str) -> DataFrame:
-    w = Window.partitionBy("book").orderBy("chunk_seq", "row_id")
-    rows = _chunks(spark, folder).withColumn("prev", F.lag("text").over(w))
-    need = P.starts_with_continuation(F.col("text")) & F.col("prev").isNotNull() & ~P.has_sentence_ending(F.col("prev"))
+    rows = with_neighbour(_chunks(spark, folder), ["book"], ["chunk_seq", "row_id"], {"filled": F.col("text").isNotNull(), "ended": P.has_sentence_ending(F.col("text"))}, "prev", ahead=False)
+    need = P.starts_with_continuation(F.col("text")) & F.coalesce(F.col("prev.filled") & ~F.col("prev.ended"), F.lit(False))
     return rows.select("row_id", "text", need.alias("needs_context"))
 
 

@@ -10,7 +10,7 @@ from ..functions import predicates as P
 from ..functions.text import BULLETS, n_words, words
 from ..operators import blocks as K
 from ..operators import merging as G
-from ._base import LINES_SQL, query, s_bullet, s_ended, s_number, s_strip, s_words, table
+from ._base import LINES_SQL, TRIMMED, query, s_bullet, s_number, s_strip, s_words, table
 
 _BOOK = "regexp_extract(chunk_id, '^(.+)_p\\d+_c\\d+$', 1)"
 _ORDER = f"PARTITION BY {_BOOK} ORDER BY chunk_seq, row_id"
@@ -33,21 +33,36 @@ def _line_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return _lines(spark, folder).withColumn("prev", F.lag("text").over(Window.partitionBy("doc_id").orderBy("seq"))).where("prev is not null")
 
 
-@query(rf"""SELECT row_id, CASE WHEN coalesce(regexp_matches({s_strip('nxt')}, '{G.ATTRIBUTION}'), false) AND len({s_words('nxt')}) <= 6 THEN 'dialogue_attribution' WHEN NOT {s_ended('text')} AND regexp_matches({s_strip('nxt')}, '^\p{{Ll}}') THEN 'incomplete_sentence'
-  WHEN len({s_words('text')}) <= 4 THEN 'very_short_fragment' WHEN len({s_words('text')}) <= 9 AND len({s_words('nxt')}) <= 9 THEN 'related_short' WHEN len({s_words('nxt')}) <= 4 THEN 'next_very_short' END AS reason
-  FROM (SELECT row_id, text, lead(text) OVER ({_ORDER}) AS nxt FROM epub) WHERE nxt IS NOT NULL""")
+_VERBS = ", ".join(f"'{v}'" for v in G.DIALOGUE_VERBS)
+_NO_END = "right(a, 1) NOT IN ('.', '!', '?')"
+
+
+@query(rf"""SELECT row_id, CASE WHEN n <= 6 AND len(list_filter(w, lambda x: lower(x) IN ({_VERBS}))) > 0 THEN 'short_dialogue_attribution' WHEN n <= 6 AND {_NO_END} AND NOT regexp_matches(b, '^\p{{Lu}}') THEN 'incomplete_sentence'
+  WHEN n <= 4 THEN 'very_short_fragment' WHEN n <= 9 AND m <= 12 AND {_NO_END} THEN 'related_short_chunks' WHEN m <= 9 THEN 'next_chunk_very_short' END AS reason
+  FROM (SELECT row_id, {s_strip('text')} AS a, {s_words('text')} AS w, len({s_words('text')}) AS n, {s_strip('nxt')} AS b, len({s_words('nxt')}) AS m FROM (SELECT row_id, text, lead(text) OVER ({_ORDER}) AS nxt FROM epub)) WHERE a <> '' AND m > 0""")
 def merge_reasons(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _chunks(spark, folder).withColumn("nxt", F.lead("text").over(Window.partitionBy("book").orderBy("chunk_seq", "row_id"))).where("nxt is not null")
-    return rows.select("row_id", G.merge_reason(F.col("text"), F.col("nxt")).alias("reason"))
+    return G.merge_reasons(_chunks(spark, folder), ["book"], ["chunk_seq", "row_id"]).select("row_id", "reason")
 
 
-@query(None)
+_QA, _LEFT = "regexp_matches(prev, '(?i)[QA]\\d+:')", f"ltrim(text, '{TRIMMED}')"
+
+
+@query(rf"""SELECT doc_id, seq, CASE WHEN {_QA} AND regexp_matches({_LEFT}, '(?i)^[QA]\d+:') THEN 0.95::DOUBLE WHEN regexp_matches({_LEFT}, '(?i)^[QA]\d+:') THEN 0.7::DOUBLE
+  WHEN {_QA} AND regexp_matches({_LEFT}, '^\p{{Lu}}') AND length({_LEFT}) > 20 THEN 0.6::DOUBLE WHEN {_QA} THEN 0.4::DOUBLE ELSE 0.1::DOUBLE END AS confidence FROM ({_PAIRS}) WHERE prev IS NOT NULL""")
 def question_answers(spark: SparkSession, folder: str) -> DataFrame:
     return _line_pairs(spark, folder).select("doc_id", "seq", G.question_confidence(F.col("prev"), F.col("text")).alias("confidence"))
 
 
-@query(rf"""SELECT doc_id, seq, round(least(1.0::DOUBLE, CASE WHEN ({s_bullet('prev')} OR {s_number('prev')}) AND NOT {s_ended('prev')} THEN 0.8::DOUBLE ELSE 0.3::DOUBLE END + CASE WHEN regexp_matches({s_strip('text')}, '^\p{{Ll}}') THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END
-  + CASE WHEN regexp_matches({s_strip('text')}, '(?i)^(?:and|or|but)\b') THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END), 6) AS confidence FROM ({_PAIRS}) WHERE prev IS NOT NULL""")
+_ITEM = lambda x: f"({s_bullet(f"ltrim({x}, '{TRIMMED}')")} OR {s_number(f"ltrim({x}, '{TRIMMED}')")})"
+_BODY = rf"ltrim(regexp_replace({s_strip('prev')}, '^(?:[{BULLETS}]|-\s|\d+[.)])', ''), '{TRIMMED}')"
+_N = lambda ch: f"(length(body) - length(replace(body, '{ch}', '')))"
+_CARRY = ", ".join(f"'{w}'" for w in G.CARRY_ON)
+
+
+@query(rf"""SELECT doc_id, seq, CASE WHEN item AND NOT new_item THEN round(least(1.0::DOUBLE, CASE WHEN n <= 5 OR (n <= 7 AND right(body, 1) NOT IN ('.', '!', '?')) OR right(body, 1) IN (',', ';', ':')
+    OR {_N('(')} > {_N(')')} OR {_N('[')} > {_N(']')} OR {_N('{')} > {_N('}')} OR {_N('"')} % 2 <> 0 THEN 0.8::DOUBLE ELSE 0.3::DOUBLE END
+  + CASE WHEN regexp_matches(t, '^\p{{Ll}}') THEN 0.15::DOUBLE WHEN regexp_matches(t, '^\p{{Lu}}') AND lower({s_words('t')}[1]) IN ({_CARRY}) THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END), 6) ELSE 0.0::DOUBLE END AS confidence
+  FROM (SELECT doc_id, seq, {s_strip('text')} AS t, {_ITEM('prev')} AS item, {_ITEM('text')} AS new_item, {_BODY} AS body, len({s_words(_BODY)}) AS n FROM ({_PAIRS}) WHERE prev IS NOT NULL)""")
 def list_continuations(spark: SparkSession, folder: str) -> DataFrame:
     return _line_pairs(spark, folder).select("doc_id", "seq", G.list_continuation_confidence(F.col("prev"), F.col("text")).alias("confidence"))
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import metrics as M
 from ..functions import text as T
 from ..operators import blocks as K
 from ..operators import chunks as C
+from ..operators.adjacency import with_neighbour
 from ._base import LINES_SQL, query, s_normalized, s_strip, s_words, table
 
 _BOOK = "regexp_extract(chunk_id, '^(.+)_p\\d+_c\\d+$', 1)"
@@ -32,8 +32,8 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"SELECT row_id, contains(prev, text) AND text <> '' AS contained FROM (SELECT row_id, text, lag(text) OVER ({_ORDER}) AS prev FROM epub) WHERE prev IS NOT NULL")
 def dup_contained(spark: SparkSession, folder: str) -> DataFrame:
     """Chunks that the chunk before them holds wholly."""
-    prev = F.lag("text").over(Window.partitionBy("book").orderBy("chunk_seq", "row_id"))
-    return _chunks(spark, folder).withColumn("prev", prev).where("prev is not null").select("row_id", (F.contains("prev", F.col("text")) & (F.col("text") != "")).alias("contained"))
+    rows = with_neighbour(_chunks(spark, folder), ["book"], ["chunk_seq", "row_id"], {"text": F.col("text")}, "prev", ahead=False).where("prev.text is not null")
+    return rows.select("row_id", (F.contains("prev.text", F.col("text")) & (F.col("text") != "")).alias("contained"))
 
 
 @query(f"SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents WHERE {_FP} <> '' GROUP BY {_FP}")

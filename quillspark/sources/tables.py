@@ -13,16 +13,6 @@ def adapter(path: Column) -> Column:
     return F.when(F.lower(path).endswith(".epub"), "epub").otherwise("pdf")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table of fewer partitions than there are cores, such as one small file, spread over the cores; others unchanged.
-
-    At scale an input has many more partitions than cores, and nothing is moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    return df.repartition(cores) if len(files) == 1 and cores > 1 and df.rdd.getNumPartitions() < cores else df
-
-
 def page_ranges(spec: str | None) -> set[int]:
     """The pages of ``1,3,5-10``, from 1; an empty spec has none. Raises ValueError for 0, words and reversed ranges."""
     pages: set[int] = set()

@@ -54,6 +54,16 @@ def one(spark, column, text):
         (P.last_list_number, "x\n2. a\n7. b", 7),
         (M.flesch_kincaid, "", 0.0),
         (M.usable, "  ", 0.0),
+        (lambda c: M.difficulty(F.length(c)), "x" * 13, "college_level"),
+        (lambda c: M.difficulty(F.length(c)), "x" * 17, "graduate_level"),
+        (P.is_heading, "Summary of the findings of this year", False),
+        (P.is_heading, "Introduction to the findings of this year", True),
+        (P.is_heading, "THE END.", True),
+        (P.is_heading, "One Two Three Four Five", True),
+        (P.heading_level, "CHAPTER ONE AND THE REST OF IT", 2),
+        (P.heading_level, "Appendix with some notes", 2),
+        *((P.common_artifact, t, True) for t in ("12", "xiv", "Page 3 of 9", "chapter 4", "3 Chapter", "Intro | 7", "Intro | ix", "12 | Some: title", "Some title |", "INDEX", "Bibliography and more", "table of  contents", "Appendix b", "4 The Title Here")),
+        *((P.common_artifact, t, False) for t in ("12. A list item", "pages", "A page 3", "chapter four", "a | b | 3", "Two words | 7", "index of names", "appendix bc", "The whole text of a paragraph.", "", None)),
         (M.split_short, "aaa bbb", ["aaa", "bbb"]),
     ],
 )
@@ -72,10 +82,57 @@ def test_clean_text_is_stable(spark):
     assert one(spark, T.clean_text, once) == once
 
 
-def test_truncation_ends_at_a_sentence(spark):
-    text = "A sentence here. " * 1000
-    cut = one(spark, M.truncate_chunk, text)
-    assert len(cut) <= 8000 and cut.endswith(".")
+def brute_truncated(text):
+    if len(text) <= 8000:
+        return text
+    room = 7900
+    ends = [p for p in (text.rfind(m + g, 0, room) for m in ".!?" for g in " \n") if p > 0.7 * room]
+    if ends:
+        return text[: max(ends) + 1].strip()
+    for sep, share in (("\n\n", 0.7), (" ", 0.8)):
+        at = text.rfind(sep, 0, room)
+        if at > share * room:
+            return text[:at].strip()
+    return text[:room].strip()
+
+
+@pytest.mark.parametrize("text", ["A sentence here. " * 1000, "A" * 9000, "word " * 2000, ("w" * 50 + "\n\n") * 200, "One. " + "x" * 9000, "x" * 6200 + " " + "y" * 5000, "x" * 6400 + " " + "y" * 5000, "short", "z" * 8000, "é! " * 2700])
+def test_truncation(spark, text):
+    assert one(spark, M.truncate_chunk, text) == brute_truncated(text)
+
+
+def test_word_joining(spark):
+    import re
+
+    for text in ("one two three", "fooBar a1b con-\n tain", "", "Über straße — x", "I am at it so we go"):
+        n = len(text.split())
+        hits = sum(len(re.findall(p, text, re.IGNORECASE)) for p in M.JOINING)
+        assert one(spark, M.word_joining, text) == (round(max(0.0, 1 - hits / n), 6) if n else 0.0)
+
+
+@pytest.mark.parametrize("ahead", [True, False])
+def test_neighbours_of_a_hot_group(spark, ahead):
+    from pyspark.sql.window import Window
+
+    from quillspark.operators.adjacency import with_neighbour
+
+    rows = [("hot", k // 2, k, f"t{k}") for k in range(300)] + [("hot", None, 900 + k, "n") for k in range(3)] + [("cold", 7, 400, None), ("cold", 5000, 401, "far"), (None, 1, 500, "x"), (None, 2, 501, "y"), ("one", 3, 600, "z")]
+    df = spark.createDataFrame(rows, "book string, n int, id long, text string").withColumn("near", F.lit("clash"))
+    side = F.lead if ahead else F.lag
+    w = Window.partitionBy("book").orderBy("n", "id")
+    true = {r.id: (r.b, r.t) for r in df.withColumn("b", side("id").over(w)).withColumn("t", side("text").over(w)).collect()}
+    for width in (1, 7, 1000):
+        out = with_neighbour(df, ["book"], ["n", "id"], {"id": F.col("id"), "text": F.col("text")}, "near", ahead, width)
+        assert {r.id: (r.near.id, r.near.text) if r.near else (None, None) for r in out.collect()} == true
+    assert with_neighbour(df.limit(0), ["book"], ["n", "id"], {"id": F.col("id")}, "near").count() == 0
+
+
+def test_shingles_of_repeated_and_empty_rows(spark):
+    rows = [(1, "a b c d e f"), (2, "x A b  C d e y"), (3, "b c d e f b c d e f"), (4, None), (5, "too short"), (6, "p q r s t"), (6, "p q r s t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("h", F.lit("clash"))
+    out = {r.doc_id: (r.shingles, r.shared, r.first_shared, r.least_holder) for r in C.shared_shingles(df.where("doc_id < 6"), "doc_id").collect()}
+    assert out == {1: (2, 2, "a b c d e", 1), 2: (3, 1, "a b c d e", 1), 3: (5, 1, "b c d e f", 1)}
+    assert {(r.doc_id, r.first_id, r.runs) for r in C.shingle_links(df, "doc_id").collect()} == {(2, 1, 1), (3, 1, 1)}
 
 
 def test_page_ranges():
