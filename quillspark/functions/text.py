@@ -199,19 +199,150 @@ def json_safe(text: Column) -> Column:
     return strip(out)
 
 
+MARKER = rf"(?:[{BULLETS}]|- |\d+[.)])"
+
+
+def merge_number_suffixes(text: Column) -> Column:
+    """A line that begins with a number and full stop goes up behind the line before it, unless that is blank, numbered itself, ended,
+    or leads to the number (a colon, the word chapter)."""
+    def placed(lines: Column, line: Column, i: Column) -> Column:
+        before = strip(F.get(lines, i - 1))
+        open_line = (before != "") & ~before.rlike(r"^\d+[.)]") & ~F.right(before, F.lit(1)).isin(":", ".", "!", "?") & ~before.rlike(r"(?i)(?:^|\s)chapter$")
+        up = (i > 0) & line.rlike(r"^\d+\.") & F.coalesce(open_line, F.lit(False))
+        return F.concat(F.when(i == 0, "").when(up, " ").otherwise("\n"), line)
+
+    return let(F.split(text, "\n"), lambda lines: F.array_join(F.transform(lines, lambda line, i: placed(lines, line, i)), ""))
+
+
+def drop_number_markers(text: Column) -> Column:
+    """Markers of numbered items that stand where none can be: behind a broken word, alone in a line, before capitals, between single
+    letters, or at the end of the text; and blank lines before a marker."""
+    for pattern, to in (
+        (r"-\n\d+[.)]\s*", "-"),
+        (r"\n\d+[.)]\n", "\n"),
+        (r"\n\d+[.)]\s+(?=[A-Z]{2,}\b)", "\n"),
+        (r"(?<=\b[a-z])\s+\d+[.)]\s+(?=[a-z])", " "),
+        (r"(?i)\b(?!(?:chapter|section|part|figure|table|appendix)\s)([a-z]+)\s+\d+[.)]['\"’]?(\s*)$", "$1$2"),
+        (r"\n{2,}(\d+[.)])", "\n$1"),
+    ):
+        text = F.regexp_replace(text, pattern, to)
+    return text
+
+
+def fixpoint(text: Column, step: Callable[[Column], Column], rounds: int = 3) -> Column:
+    """``step`` applied some times over; once nothing changes, the rest changes nothing."""
+    for _ in range(rounds):
+        text = step(text)
+    return text
+
+
+def remove_stray_bullets(text: Column) -> Column:
+    """Bullets that mark no item: alone in a line, before a small letter in a line that goes on, or inside a line; the markers of lines that
+    are an address; and blank lines before items."""
+    names = r"[A-Z0-9][\w.'-]*(?:\s+[A-Za-z0-9][\w.'-]*)*"
+
+    def step(t: Column) -> Column:
+        for pattern, to in (
+            (rf"\n[{BULLETS}]\s*(?=\n|$)", "\n"),
+            (rf"(?<![\n:{BULLETS}-])\n(?:[{BULLETS}]|- )\s*(?<=\s)(?=[a-z0-9])", " "),
+            (rf"(?<=\S)[ \t](?:[{BULLETS}]|- )\s*(?<=\s)(?=[a-z0-9])", " "),
+            (rf"(?im)^([ \t]*)[{BULLETS}]\s*(?=(?:(?:directed|addressed|ship|shipped|sent|consigned) to\s+)?{names},\s*{names},\s*[A-Z][A-Za-z.'-]+$)", "$1"),
+            (rf"\n+(?=[ \t]*(?:[{BULLETS}]|- ))", "\n"),
+        ):
+            t = F.regexp_replace(t, pattern, to)
+        return t
+
+    return fixpoint(text, step)
+
+
+def break_numbered_lists(text: Column) -> Column:
+    """Numbered items stand in lines of their own: a break behind a colon and between items of one line, unless a capitalised word
+    comes before the number; and a blank line behind an item that ends a sentence."""
+    for pattern, to in (
+        (r":\s*(?!\n)(\d{1,3}[.)])", ":\n$1"),
+        (r"(\d{1,3}[.)][^\n]*?)(?<!(?:^|\s)\p{Lu}\p{Ll}{0,30})[ \t]+(?=\d{1,3}[.)]\s)", "$1\n"),
+        (r"(\d{1,3}[.)][^\n]*[.!?…])\n+(?=[^\n])", "$1\n\n"),
+    ):
+        text = F.regexp_replace(text, pattern, to)
+    return text
+
+
+def join_wrapped_items(text: Column) -> Column:
+    """A line behind a list item, without a marker of its own, joins the item."""
+    marked = lambda line: line.rlike(rf"^\s*{MARKER}")
+
+    def placed(lines: Column, line: Column, i: Column) -> Column:
+        up = (i > 0) & F.coalesce(marked(F.get(lines, i - 1)), F.lit(False)) & (strip(line) != "") & ~marked(line)
+        return F.concat(F.when(i == 0, "").when(up, " ").otherwise("\n"), F.when(up, lstrip(line)).otherwise(line))
+
+    return let(F.split(text, "\n"), lambda lines: F.array_join(F.transform(lines, lambda line, i: placed(lines, line, i)), ""))
+
+
+def merge_paragraphs(text: Column, is_heading: Callable[[Column], Column]) -> Column:
+    """Paragraphs that were parted without need become one: a line with a dash goes to what it is said of, a paragraph behind a note
+    mark, behind an open quotation, and behind one that is short or has no end. Headings and list items stay."""
+    quotes = lambda t, q: F.length(t) - F.length(F.replace(t, F.lit(q), F.lit("")))
+    paragraphs = F.filter(F.split(text, r"\n{2,}"), lambda p: strip(p) != "")
+    about = F.transform(
+        paragraphs,
+        lambda p: F.struct(
+            p.alias("t"), F.when(F.length(p) <= 120, is_heading(p)).otherwise(False).alias("heading"), strip(F.substring_index(rstrip(p), "\n", -1)).rlike(rf"^{MARKER}").alias("last_item"), lstrip(p).rlike(rf"^{MARKER}").alias("item"),
+            lstrip(p).startswith("—").alias("dash"), rstrip(p).rlike(r"\[\d+\][.!?]?$").alias("note"), rstrip(p).rlike(r"[.?!]$").alias("ended"),
+            quotes(p, '"').alias("double"), quotes(p, "'").alias("single"), F.length(p).alias("n"),
+        ),
+    )
+    odd = lambda x: (x["double"] % 2 != 0) | (x["single"] % 2 != 0)
+    numbers = "starts array<int>, i int, heading boolean, last_item boolean, note boolean, ended boolean, double int, single int, n int"
+    zero = F.from_json(F.lit('{"starts": [], "i": 0, "heading": false, "last_item": false, "note": false, "ended": false, "double": 0, "single": 0, "n": 0}'), numbers)
+
+    def step(acc: Column, x: Column) -> Column:
+        plain = ~acc["heading"] & ~x["heading"]
+        closes = odd(acc) & ((acc["double"] + x["double"]) % 2 == 0) & ((acc["single"] + x["single"]) % 2 == 0)
+        joined = (acc["i"] > 0) & (x["dash"] | (acc["note"] & ~x["item"]) | (~acc["last_item"] & plain & (closes | (acc["n"] < 60) | ~acc["ended"])))
+        both = lambda name: F.when(joined, acc[name] + x[name]).otherwise(x[name])
+        return F.struct(
+            F.when(joined, acc["starts"]).otherwise(F.concat(acc["starts"], F.array(acc["i"]))).alias("starts"), (acc["i"] + 1).alias("i"),
+            F.when(joined, False).otherwise(x["heading"]).alias("heading"), x["last_item"].alias("last_item"), x["note"].alias("note"), x["ended"].alias("ended"),
+            both("double").alias("double"), both("single").alias("single"), F.when(joined, acc["n"] + x["n"] + 1).otherwise(x["n"]).alias("n"),
+        )
+
+    def assembled(xs: Column) -> Column:
+        starts = F.aggregate(xs, zero, step, lambda acc: acc["starts"])
+        return F.array_join(F.transform(xs, lambda x, i: F.concat(F.when(i == 0, "").when(F.array_contains(starts, i), "\n\n").otherwise(" "), F.when(F.array_contains(starts, i), rstrip(x["t"])).otherwise(strip(x["t"])))), "")
+
+    return let(about, assembled)
+
+
+def strip_superscripts(text: Column, styles: Column) -> Column:
+    """STRUCT<text, notes>: superscript spans with nothing but closing marks behind them become notes and leave the text."""
+    tail = lambda s: strip(F.substring(text, s["end"] + 1, F.length(text)))
+    at_end = F.filter(styles, lambda s: (s["style"] == "superscript") & (s["start"] >= 0) & (s["end"] > s["start"]) & (s["end"] <= F.length(text)) & (F.translate(tail(s), ".,;:!?)]\"'", "") == ""))
+    spans = F.array_sort(F.transform(at_end, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    notes = F.filter(F.transform(spans, lambda s: strip(F.substring(text, s["start"] + 1, s["end"] - s["start"]))), lambda n: n != "")
+    first = F.get(spans, F.lit(0))
+    cut = F.when(F.size(spans) > 0, F.concat(F.left(text, first["start"]), F.substring(text, F.element_at(spans, -1)["end"] + 1, F.length(text)))).otherwise(text)
+    return F.struct(cut.alias("text"), F.coalesce(notes, F.array().cast("array<string>")).alias("notes"))
+
+
 def clean_paragraph(text: Column) -> Column:
     """The steps for one paragraph, in order."""
-    for step in (join_hyphenated, remove_soft_hyphens, normalize_quotes, normalize_inline_footnotes, remove_underscore_emphasis, replace_pipes, consolidate_whitespace):
+    for step in (
+        remove_underscore_emphasis, join_hyphenated, remove_soft_hyphens, drop_piped_lines, replace_pipes, collapse_artifact_breaks, remove_stray_bullets,
+        remove_control_characters, expand_ligatures, normalize_quotes, normalize_inline_footnotes, consolidate_whitespace,
+    ):
         text = step(text)
     return text
 
 
 def clean_text(text: Column) -> Column:
-    """The whole cleaner: steps for the text, then each paragraph by itself, then what JSON needs."""
+    """The whole cleaner: steps for the text, then paragraphs merged, then each by itself, then what JSON needs."""
+    from .predicates import probable_heading
+
     for step in (
-        normalize_newlines, remove_control_characters, drop_stray_circumflex, normalize_nbsp, expand_ligatures, join_hyphenated,
-        collapse_colon_list_breaks, collapse_artifact_breaks, collapse_single_newlines,
+        drop_stray_circumflex, normalize_nbsp, normalize_newlines, join_hyphenated, remove_soft_hyphens, normalize_quotes, remove_control_characters,
+        collapse_colon_list_breaks, drop_number_markers, break_numbered_lists, merge_number_suffixes, join_wrapped_items, collapse_single_newlines,
     ):
         text = step(text)
+    text = let(text, lambda t: merge_paragraphs(t, probable_heading))
     paragraphs = F.transform(F.split(text, r"\n{2,}"), clean_paragraph)
     return json_safe(F.array_join(F.filter(paragraphs, lambda p: p != ""), "\n\n"))

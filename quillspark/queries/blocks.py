@@ -11,7 +11,7 @@ from ..operators import blocks as K
 from ..operators import rules as R
 from ..sources import html as H
 from ..sources.tables import adapter
-from ._base import LINES_SQL, query, s_bullet, s_ended, s_number, s_rstrip, s_strip, s_words, table
+from ._base import LINES_SQL, query, s_bullet, s_ended, s_heading, s_heading_level, s_number, s_rstrip, s_strip, s_words, table
 
 
 def _blocks(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,12 +118,17 @@ def list_kind_counts(spark: SparkSession, folder: str) -> DataFrame:
     return K.with_lists(_blocks(spark, folder)).groupBy("found_kind").agg(F.count("*").alias("blocks"))
 
 
-@query(None)
+_STYLED = """coalesce(list_sum([greatest(x."end" - x.start, 0) for x in inline_styles if x.style IN ('bold', 'underline', 'caps', 'small_caps')]), CASE WHEN inline_styles IS NOT NULL THEN 0 END)::DOUBLE / length(text) >= 0.6"""
+
+
+@query(f"""SELECT doc_id, page, seq, text, a OR b AS is_heading, CASE WHEN a OR b THEN level END AS heading_level, CASE WHEN a THEN 'fallback' WHEN b THEN 'inline_styles' END AS heading_source FROM (
+  SELECT *, {s_heading(s_strip('text'))} AS a, coalesce({_STYLED} AND len({s_words('text')}) <= 12 AND length(text) > 0, false) AS b, {s_heading_level(s_strip('text'))} AS level FROM blocks)""")
 def heading_detect(spark: SparkSession, folder: str) -> DataFrame:
     return K.with_headings(_blocks(spark, folder)).select("doc_id", "page", "seq", "text", "is_heading", "heading_level", "heading_source")
 
 
-@query(None)
+@query(f"""WITH h AS (SELECT doc_id, seq, text, {s_heading_level(s_strip('text'))} AS level FROM ({LINES_SQL}) WHERE {s_heading(s_strip('text'))})
+  SELECT a.doc_id, a.seq, a.text, a.level, (SELECT max(b.seq) FROM h b WHERE b.doc_id = a.doc_id AND b.seq < a.seq AND b.level < a.level) AS parent_seq FROM h a""")
 def heading_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
     lines = _lines(spark, folder).where(P.is_heading(F.col("text"))).withColumn("level", P.heading_level(F.col("text")))
     return K.heading_tree(lines)

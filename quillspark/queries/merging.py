@@ -121,17 +121,6 @@ def clean_inline_footers(spark: SparkSession, folder: str) -> DataFrame:
     return _docs(spark, folder).select("doc_id", F.regexp_replace("text", pattern, "\n\n").alias("value"), F.regexp_count("text", F.lit(pattern)).cast("bigint").alias("removed"))
 
 
-@query(r"SELECT doc_id, regexp_replace(text, ':[ \t]*(\d{1,3}[.)])', ':' || chr(10) || '\1', 'g') AS value FROM documents")
-def clean_numbered_lists(spark: SparkSession, folder: str) -> DataFrame:
-    return _docs(spark, folder).select("doc_id", F.regexp_replace("text", r":[ \t]*(\d{1,3}[.)])", ":\n$1").alias("value"))
-
-
-@query(rf"SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda l: NOT regexp_matches(l, '^[ \t]*[{BULLETS}][ \t]*$')), chr(10)) AS value FROM documents")
-def clean_stray_bullets(spark: SparkSession, folder: str) -> DataFrame:
-    kept = F.filter(F.split("text", "\n"), lambda line: ~line.rlike(rf"^[ \t]*[{BULLETS}][ \t]*$"))
-    return _docs(spark, folder).select("doc_id", F.array_join(kept, "\n").alias("value"))
-
-
 @query(r"SELECT word, count(*) AS times FROM (SELECT unnest(regexp_extract_all(text, '[a-z]+[A-Z][a-z]+')) AS word FROM documents) GROUP BY word")
 def glued_candidates(spark: SparkSession, folder: str) -> DataFrame:
     found = _docs(spark, folder).select(F.explode(F.regexp_extract_all("text", F.lit(r"([a-z]+[A-Z][a-z]+)"), F.lit(1))).alias("word"))

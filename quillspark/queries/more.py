@@ -60,18 +60,6 @@ def margin_fragments(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "blocks").where(F.coalesce(margin & (T.n_words(F.col("text")) <= 6) & number, F.lit(False))).select("doc_id", "page", "seq", "text")
 
 
-@query(r"SELECT doc_id, regexp_replace(text, '([A-Za-z,])\n(\d{1,3}\.)(\n|$)', '\1 \2\3', 'g') AS value FROM documents")
-def clean_number_suffixes(spark: SparkSession, folder: str) -> DataFrame:
-    """A line of a number and full stop only goes up behind a line that isn't ended."""
-    return _docs(spark, folder).select("doc_id", F.regexp_replace("text", r"([A-Za-z,])\n(\d{1,3}\.)(\n|$)", "$1 $2$3").alias("value"))
-
-
-@query(r"SELECT doc_id, regexp_replace(text, '\b([A-Za-z]+)[ \t]+\d{1,3}[.)][ \t]*$', '\1') AS value FROM documents")
-def clean_number_markers(spark: SparkSession, folder: str) -> DataFrame:
-    """A list number at the end of a text goes."""
-    return _docs(spark, folder).select("doc_id", F.regexp_replace("text", r"\b([A-Za-z]+)[ \t]+\d{1,3}[.)][ \t]*$", "$1").alias("value"))
-
-
 @query(rf"""SELECT doc_id, len(string_split_regex(text, '[.!?]+'))::BIGINT AS parts, len(regexp_extract_all(text, '[.!?]+'))::BIGINT AS terminators, len(regexp_extract_all(text, '[.!?]\s+\p{{Lu}}'))::BIGINT AS starts FROM documents""")
 def sentence_statistics(spark: SparkSession, folder: str) -> DataFrame:
     n = lambda p: F.regexp_count("text", F.lit(p)).cast("bigint")
@@ -87,14 +75,6 @@ def source_fuzzy(spark: SparkSession, folder: str) -> DataFrame:
     return both.select("doc_id", "seq", "text", F.round(1 - F.levenshtein(a, b) / F.greatest(F.length(F.left("text", F.lit(50))), F.length(F.left("first", F.lit(50))), F.lit(1)), 6).alias("ratio"))
 
 
-@query(rf"""SELECT doc_id, seq, length({s_strip('text')}) <= 80 AND NOT regexp_matches({s_strip('text')}, '[.!?;,]$') AND len(list_filter({s_words('text')}, lambda w: regexp_matches(w, '^\p{{Lu}}'))) * 2 >= len({s_words('text')}) AS probable FROM ({LINES_SQL})""")
-def heading_phrases(spark: SparkSession, folder: str) -> DataFrame:
-    """Short lines without an end, at least half of whose words are capitalised."""
-    t, w = T.strip(F.col("text")), T.words(F.col("text"))
-    capital = F.size(F.filter(w, lambda x: x.rlike(r"^\p{Lu}")))
-    return _lines(spark, folder).select("doc_id", "seq", ((F.length(t) <= 80) & ~t.rlike(r"[.!?;,]$") & (capital * 2 >= F.size(w))).alias("probable"))
-
-
 @query(r"""SELECT kind, pattern, decision, max(coalesce(confidence, 0)) AS confidence, count(*) AS times, max(learned_at) AS learned_at FROM decisions GROUP BY kind, pattern, decision""")
 def decisions_merged(spark: SparkSession, folder: str) -> DataFrame:
     """The store of learned patterns, each decision once."""

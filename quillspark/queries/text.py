@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import metrics as M
 from ..functions import predicates as P
 from ..functions import text as T
-from ._base import ORACLE_SQL, QUERIES, s_ended, s_bullet, s_normalized, s_number, s_rstrip, s_spaces, s_strip, s_words, table
+from ._base import ORACLE_SQL, QUERIES, TRIMMED, s_ended, s_heading, s_heading_level, s_bullet, s_normalized, s_number, s_rstrip, s_spaces, s_strip, s_words, table
 
 B = T.BULLETS
 NB, ZW = T.NBSP_LIKE, T.ZERO_WIDTH
@@ -38,6 +38,12 @@ SINGLE = _r(_r("text", r"\n{2,}", PARA), rf"\n([ \t]*{T.LIST_START})", ITEM + r"
 SINGLE = f"replace({_t(ITEM, chr(10), f'replace({SINGLE}, chr(10), chr(32))')}, '{PARA}', chr(10) || chr(10))"
 QUOTE_COUNT = "(length(text) - length(replace(text, '\"', '')))"
 
+
+
+def _place(sep: str) -> str:
+    return f"(CASE WHEN contains(h, {sep}) THEN length(h) - length(list_extract(string_split(h, {sep}), -1)) - length({sep}) ELSE -1 END)"
+
+
 #: name: (Column of documents.text, SQL of the same)
 ON_DOCUMENTS = {
     "clean_nbsp": (T.normalize_nbsp, _r(_t(NB + ZW, " " * len(NB), "text"), " {2,}", " ")),
@@ -57,6 +63,20 @@ ON_DOCUMENTS = {
     "clean_footnote_marks": (T.normalize_inline_footnotes, _r(_t(*T.SUPERSCRIPTS, "text"), r"(^|[^0-9])\.([0-9]+)(\s|$)", r"\1[\2].\3")),
     "clean_glued_words": (T.split_glued_words, _r("text", "([a-z])([A-Z])", r"\1 \2")),
     "clean_dot_leaders": (T.strip_dot_leaders, f"array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda l: {DOTLESS}), lambda l: l <> ''), chr(10))"),
+    "clean_number_suffixes": (
+        T.merge_number_suffixes,
+        rf"""(SELECT array_to_string(list_transform(ls, lambda l, i: CASE WHEN i = 1 THEN '' WHEN regexp_matches(l, '^\d+\.') AND {s_strip('ls[i - 1]')} <> '' AND NOT regexp_matches({s_strip('ls[i - 1]')}, '^\d+[.)]')
+        AND right({s_strip('ls[i - 1]')}, 1) NOT IN (':', '.', '!', '?') AND NOT regexp_matches({s_strip('ls[i - 1]')}, '(?i)(?:^|\s)chapter$') THEN ' ' ELSE chr(10) END || l), '') FROM (SELECT string_split(text, chr(10)) AS ls))""",
+    ),
+    "clean_number_markers": (T.drop_number_markers, None),
+    "clean_stray_bullets": (T.remove_stray_bullets, None),
+    "clean_numbered_lists": (T.break_numbered_lists, None),
+    "clean_wrapped_items": (
+        T.join_wrapped_items,
+        rf"""(SELECT array_to_string(list_transform(ls, lambda l, i: CASE WHEN i = 1 THEN l WHEN regexp_matches(ls[i - 1], '^\s*{T.MARKER}') AND {s_strip('l')} <> '' AND NOT regexp_matches(l, '^\s*{T.MARKER}')
+        THEN ' ' || ltrim(l, '{TRIMMED}') ELSE chr(10) || l END), '') FROM (SELECT string_split(text, chr(10)) AS ls))""",
+    ),
+    "clean_paragraphs": (lambda c: T.merge_paragraphs(c, P.probable_heading), None),
     "clean_underscores": (T.remove_underscore_emphasis, None),
     "clean_leading_capital": (T.restore_leading_capital, None),
     "clean_paragraph": (T.clean_paragraph, None),
@@ -107,15 +127,20 @@ ON_DOCUMENTS = {
         rf"""CASE WHEN {COUNT("[A-Za-z]+")} = 0 THEN 0.0::DOUBLE ELSE round(0.39::DOUBLE * {COUNT("[A-Za-z]+")} / greatest({COUNT('[.!?]+')}, 1) + 11.8::DOUBLE * greatest({COUNT('(?i)[aeiouy]+')}, {COUNT("[A-Za-z]+")}) / {COUNT("[A-Za-z]+")} - 15.59::DOUBLE, 3) END""",
     ),
     "effective_words": (lambda c: F.greatest(T.n_words(c), F.ceil(F.length(c) / 4.7)).cast("bigint"), f"greatest(CAST(len({s_words('text')}) AS BIGINT), CAST(ceil(length(text) / 4.7::DOUBLE) AS BIGINT))"),
-    "truncated_at_boundary": (M.truncate_chunk, None),
+    "truncated_at_boundary": (
+        M.truncate_chunk,
+        f"""(SELECT CASE WHEN length(text) <= 8000 THEN text WHEN s > 5530 THEN {s_strip('left(text, s + 1)')} WHEN p > 5530 THEN {s_strip('left(text, p)')} WHEN w > 6320 THEN {s_strip('left(text, w)')} ELSE {s_strip('left(text, 7900)')} END
+        FROM (SELECT greatest({', '.join(_place(f"'{m}' || {g}") for m in '.!?' for g in ("' '", 'chr(10)'))}) AS s, {_place('chr(10) || chr(10)')} AS p, {_place("' '")} AS w FROM (SELECT left(text, 7900) AS h)))""",
+    ),
     "split_in_two": (lambda c: F.to_json(M.split_short(c)), None),
     "audit_hash": (lambda c: F.left(F.md5(c), F.lit(8)), "left(md5(text), 8)"),
 }
 
 #: The same of the lines of documents.
 ON_LINES = {
-    "line_heading": (P.is_heading, None),
-    "line_heading_level": (P.heading_level, None),
+    "line_heading": (P.is_heading, s_heading(s_strip("text"))),
+    "line_heading_level": (P.heading_level, s_heading_level(s_strip("text"))),
+    "line_probable_heading": (P.probable_heading, None),
     "line_bullet": (P.starts_with_bullet, s_bullet("text")),
     "line_number": (P.starts_with_number, s_number("text")),
     "line_caption": (P.is_caption, f"regexp_matches(lower({s_strip('text')}), '{P.CAPTION}')"),
