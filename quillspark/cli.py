@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> int:
     convert.add_argument("--chunk-size", type=int)
     convert.add_argument("--overlap", type=int)
     convert.add_argument("--no-metadata", action="store_true")
+    convert.add_argument("--max-chars", type=int)
+    convert.add_argument("--trace", help="a folder for the output of every pass and the report of the run")
     verbs.add_parser("inspect")
     spines = verbs.add_parser("list-spines")
     spines.add_argument("input")
@@ -49,9 +51,12 @@ def main(argv: list[str] | None = None) -> int:
             print(row.spine, row.location, row.preview)
         return 0
     given = {k: v for k, v in (("chunk_size", args.chunk_size), ("overlap", args.overlap)) if v is not None}
-    spec = pipeline.load_spec(args.spec, {"split_semantic": given} if given else None)
+    overrides = ({"split_semantic": given} if given else {}) | ({"emit": {"max_chars": args.max_chars}} if args.max_chars else {})
+    spec = pipeline.load_spec(args.spec, overrides or None)
     began = time.time()
-    chunks = pipeline.run(spec, _documents(spark, args.input)).withColumnRenamed("meta", "metadata")
+    rows = _documents(spark, args.input)
+    made = pipeline.run_traced(spec, rows, args.trace) if args.trace else pipeline.run(spec, rows)
+    chunks = made.withColumnRenamed("meta", "metadata")
     tables.write_jsonl(chunks, args.out, not args.no_metadata)
     print(json.dumps({"passes": spec.pipeline, "seconds": round(time.time() - began, 2)}), file=sys.stderr)
     return 0

@@ -128,7 +128,7 @@ def merge_page_blocks(blocks: DataFrame) -> DataFrame:
     """
     t = strip(F.col("text"))
     fields = {
-        "heading": P.is_heading(F.col("text")) | F.coalesce(F.col("type") == "heading", F.lit(False)),
+        "heading": (P.is_heading(F.col("text")) & ~is_list_item(F.col("text"))) | F.coalesce(F.col("type") == "heading", F.lit(False)),
         "item": is_list_item(F.col("text")),
         "caption": P.is_caption(F.col("text")),
         "colon": t.endswith(":"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import metrics as M
 from ..functions import predicates as P
@@ -101,3 +102,44 @@ def text_quality(docs: DataFrame, id_col: str) -> DataFrame:
     both = scores.join(clean, "doc_id", "left").withColumn("contamination", F.coalesce("contamination", F.lit(1.0)))
     overall = 0.30 * F.col("sentence") + 0.25 * F.col("word") + 0.20 * F.col("whitespace") + 0.15 * F.col("ligature") + 0.10 * F.col("contamination")
     return both.withColumn("overall", F.round(overall, 6)).withColumnRenamed("doc_id", id_col)
+
+
+# Words that announce parts of a book; fixed values.
+PART_WORDS = "part i|part ii|part iii|chapter|section|figure|table|appendix|bibliography"
+
+
+def documents_to_clean(blocks: DataFrame) -> DataFrame:
+    """(doc_id, blocks, troubled, clean): whether the blocks of a document show signs that a second cleaning would help: a block with
+    signs of bad extraction, many short blocks, quotes, words that announce parts, or pages that mostly break sentences."""
+    text = F.coalesce("text", F.lit(""))
+    t = strip(text)
+    quotes = F.length(text) - F.length(F.translate(text, "\"'", ""))
+    troubled = (text != "") & (
+        text.rlike("[a-z][A-Z]") | (P.starts_lower(t) & ~P.ends_with_any(t)) | text.rlike(r"\s{3,}") | (quotes % 2 != 0)
+        | ((F.length(t) < 20) & ~P.ends_with_any(t, (".", "!", "?"))) | text.rlike("[a-z][.!?][A-Z]")
+    )
+    order = Window.partitionBy("doc_id").orderBy("page", "seq", "text")
+    rows = blocks.withColumns({"__n": F.lead(strip(text)).over(order), "__p": F.lead(F.struct("page")).over(order)})
+    turns = F.col("__p").isNotNull() & ~F.col("__p.page").eqNullSafe(F.col("page"))
+    broken = turns & (t != "") & ~P.ends_with_any(t, (".", "!", "?")) & P.starts_lower(F.col("__n"))
+    per = rows.groupBy("doc_id").agg(
+        F.count("*").alias("blocks"), F.count_if(troubled).alias("troubled"), F.sum(F.length(text) + 1).alias("chars"), F.bool_or((quotes > 0) | F.lower(text).rlike(PART_WORDS)).alias("signs"),
+        F.count_if(turns).alias("turns"), F.count_if(F.coalesce(broken, F.lit(False))).alias("broken"),
+    )
+    clean = (F.col("troubled") > 0) | ((F.col("blocks") > 10) & (F.col("chars") / F.col("blocks") < 100)) | F.col("signs") | ((F.col("turns") > 0) & (F.col("broken") / F.col("turns") > 0.3))
+    return per.select("doc_id", "blocks", "troubled", clean.alias("clean"))
+
+
+def better_blocks(original: DataFrame, other: DataFrame, least: float = 0.5) -> DataFrame:
+    """(doc_id, seq, text, replaced): blocks with signs of bad extraction take the text of the most similar block of another extractor of
+    the same document, if half of their words are shared and that text has fewer signs. Rows of one document meet."""
+    faults = lambda c: F.size(P.extraction_issues(F.col(c)))
+    own = original.where("text is not null").select("doc_id", "seq", "text", faults("text").alias("f"))
+    bag = lambda c: F.array_distinct(words(F.lower(F.col(c))))
+    theirs = other.where("text is not null").select("doc_id", F.col("text").alias("o"), bag("text").alias("ob"), faults("text").alias("of"))
+    pairs = own.where("f > 0").withColumn("b", bag("text")).join(theirs, "doc_id").where("of < f")
+    shared = F.size(F.array_intersect("b", "ob"))
+    likeness = F.round(shared / F.greatest(F.size("b") + F.size("ob") - shared, F.lit(1)), 6)
+    best = pairs.withColumn("s", likeness).where(F.col("s") >= least).groupBy("doc_id", "seq", "text").agg(F.min(F.struct((-F.col("s")).alias("s"), "o")).alias("m"))
+    out = own.join(best, ["doc_id", "seq", "text"], "left")
+    return out.select("doc_id", "seq", F.coalesce("m.o", "text").alias("text"), F.col("m").isNotNull().alias("replaced"))

@@ -5,13 +5,15 @@ Nothing is executed until the result is used, so Catalyst sees all passes at onc
 
 from __future__ import annotations
 
+import json
 import os
+import time
 import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,6 +22,7 @@ from ..functions import text as T
 from ..operators.emitting import rows_for_output
 from ..operators.folding import records, semantic_chunks
 from ..operators.provenance import with_metadata
+from ..sources.tables import snapshot
 
 Pass = Callable[..., DataFrame]
 REGISTRY: dict[str, Pass] = {}
@@ -141,4 +144,46 @@ def run(spec: Spec, df: DataFrame) -> DataFrame:
     return out
 
 
-__all__ = ["REGISTRY", "Spec", "check", "default_spec", "load_spec", "register", "run"]
+def versions() -> dict[str, str]:
+    """What a run depends on, and the settings of the environment that change passes."""
+    import platform
+
+    import pyspark
+
+    settings = {k: v for k, v in os.environ.items() if "__" in k and k.lower().partition("__")[0] in REGISTRY}
+    return {"python": platform.python_version(), "pyspark": pyspark.__version__, **settings}
+
+
+def run_traced(spec: Spec, df: DataFrame, run_dir: str) -> DataFrame:
+    """Like ``run``, but each pass is written to ``run_dir`` and timed; ``run_report`` there has a JSON line for the run. A pass reads what
+    the one before wrote, so a run can be taken up again behind any of them."""
+    check(spec)
+    spark, out, report = df.sparkSession, snapshot(df.select("doc_id", "text").where("text is not null"), run_dir, "input"), []
+    for step in spec.pipeline:
+        began = time.time()
+        out = snapshot(REGISTRY[step](out, **spec.options.get(step, {})), run_dir, step)
+        report.append({"name": step, "seconds": round(time.time() - began, 3), "rows": out.count()})
+    line = json.dumps({"passes": report, "options": spec.options, "versions": versions()})
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(os.path.join(run_dir, "run_report"))
+    return out
+
+
+def replay(spec: Spec, spark: SparkSession, run_dir: str, after: str) -> DataFrame:
+    """The passes behind ``after``, over what that pass wrote in a traced run."""
+    at = spec.pipeline.index(after) + 1
+    out = spark.read.parquet(os.path.join(run_dir, after))
+    for step in spec.pipeline[at:]:
+        out = REGISTRY[step](out, **spec.options.get(step, {}))
+    return out
+
+
+def duplicates_by_pass(spec: Spec, spark: SparkSession, run_dir: str) -> dict[str, int]:
+    """The rows of each written pass whose text another row of it has; the first pass with any brought them in."""
+    found = {}
+    for step in ("input", *spec.pipeline):
+        per = spark.read.parquet(os.path.join(run_dir, step)).groupBy(F.md5("text").alias("h")).agg(F.count("*").alias("n"))
+        found[step] = per.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d")).first().d
+    return found
+
+
+__all__ = ["REGISTRY", "Spec", "check", "default_spec", "duplicates_by_pass", "load_spec", "register", "replay", "run", "run_traced", "versions"]

@@ -11,6 +11,10 @@ from ..operators import blocks as K
 from ..operators import chunks as C
 from ..operators import emitting as E
 from ..operators import folding as D
+from ..operators import quality as Q
+from ..operators import relational as J
+from ..operators.quality import PART_WORDS
+from ..sources.tables import register_sql
 from ._base import LINES_SQL, TRIMMED, query, s_bullet, s_heading, s_number, s_rstrip, s_strip, s_words, table
 
 
@@ -157,3 +161,48 @@ _OVERLAPS = (0, 25, 50, 75, 100, 125, 150)
 def recall_by_overlap(spark: SparkSession, folder: str) -> DataFrame:
     """Recall at three for overlaps of windows of 400 words; the boundaries of documents with an id divisible by 100 are asked of all."""
     return C.recall_by_overlap(_docs(spark, folder).select("doc_id", "text"), "doc_id", _OVERLAPS, F.col("row") % 100 == 0)
+
+
+_T = s_strip("t")
+_MARKS = """(length(t) - length(translate(t, '"' || chr(39), '')))"""
+
+
+@query(rf"""WITH b AS (SELECT doc_id, page, seq, coalesce(text, '') AS t, text FROM blocks), n AS (SELECT *, lead({_T}) OVER w AS nt, lead(page) OVER w AS np, lead(1) OVER w AS more FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY page NULLS FIRST, seq NULLS FIRST, text NULLS FIRST)),
+  f AS (SELECT doc_id, t, t <> '' AND (regexp_matches(t, '[a-z][A-Z]') OR (regexp_matches({_T}, '^\p{{Ll}}') AND right({_T}, 1) NOT IN ('.', '!', '?', ';', ':')) OR regexp_matches(t, '\s{{3,}}') OR {_MARKS} % 2 <> 0
+    OR (length({_T}) < 20 AND right({_T}, 1) NOT IN ('.', '!', '?')) OR regexp_matches(t, '[a-z][.!?][A-Z]')) AS trouble, {_MARKS} > 0 OR regexp_matches(lower(t), '{PART_WORDS}') AS sign,
+    more IS NOT NULL AND np IS DISTINCT FROM page AS turn, more IS NOT NULL AND np IS DISTINCT FROM page AND {_T} <> '' AND right({_T}, 1) NOT IN ('.', '!', '?') AND coalesce(regexp_matches(nt, '^\p{{Ll}}'), false) AS broken FROM n),
+  p AS (SELECT doc_id, count(*) AS blocks, count(*) FILTER (trouble) AS troubled, sum(length(t) + 1) AS chars, bool_or(sign) AS signs, count(*) FILTER (turn) AS turns, count(*) FILTER (broken) AS broken FROM f GROUP BY doc_id)
+  SELECT doc_id, blocks, troubled, troubled > 0 OR (blocks > 10 AND chars / blocks < 100) OR signs OR (turns > 0 AND broken / turns > 0.3) AS clean FROM p""")
+def documents_to_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return Q.documents_to_clean(table(spark, folder, "blocks"))
+
+
+@query(None)
+def better_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return Q.better_blocks(table(spark, folder, "blocks").select("doc_id", "seq", "text").distinct(), _lines(spark, folder))
+
+
+@query("""WITH o AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), v AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type <> 'purchase' GROUP BY ALL)
+  SELECT o.event_id, v.value AS value_asof FROM o ASOF LEFT JOIN v ON o.user_id = v.user_id AND o.ts >= v.ts""")
+def events_asof(spark: SparkSession, folder: str) -> DataFrame:
+    """For each purchase, the value of the user's latest other event."""
+    e = table(spark, folder, "events")
+    left, right = e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), e.where("event_type <> 'purchase'").select("user_id", "ts", "value")
+    return J.asof_join(left, right, ["user_id"], "ts", ["value"]).select("event_id", "value_asof")
+
+
+@query("""WITH s AS (SELECT doc_id, seq, s.start AS a, s."end" AS z FROM (SELECT doc_id, page, seq, unnest(inline_styles) AS s FROM blocks)), p AS (SELECT row_id, metadata.page AS page FROM epub WHERE metadata.page IS NOT NULL)
+  SELECT row_id, count(*) AS spans FROM p JOIN s ON p.page >= s.a AND p.page < s.z GROUP BY row_id""")
+def pages_in_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """An interval join: the style spans that hold a number, for the page numbers of chunks, counted on each side before they meet."""
+    spans = table(spark, folder, "blocks").select(F.explode("inline_styles").alias("s")).groupBy(F.col("s.start").alias("a"), F.col("s.end").alias("z")).agg(F.count("*").alias("n"))
+    pages = table(spark, folder, "epub").select("row_id", F.col("metadata.page").alias("page")).where("page is not null")
+    per = J.interval_join(pages.select("page").distinct(), spans, "page", "a", "z", 16).groupBy("page").agg(F.sum("n").alias("spans"))
+    return pages.join(per, "page").select("row_id", "spans")
+
+
+@query("SELECT book, count(*) AS chunks, sum(words)::BIGINT AS words FROM (SELECT regexp_extract(chunk_id, '^(.+)_p\\d+_c\\d+$', 1) AS book, len(" + s_words("text") + ") AS words FROM epub) GROUP BY book")
+def sql_surface(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through SQL, on views and a registered function."""
+    register_sql(spark, folder, ("epub",))
+    return spark.sql("SELECT book, count(*) AS chunks, sum(n) AS words FROM (SELECT regexp_extract(chunk_id, r'^(.+)_p\\d+_c\\d+$', 1) AS book, quill_words(text) AS n FROM epub) GROUP BY book")

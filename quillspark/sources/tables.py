@@ -50,3 +50,15 @@ def snapshot(df: DataFrame, run_dir: str, step: str) -> DataFrame:
     path = os.path.join(run_dir, step)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def register_sql(spark: SparkSession, folder: str, names: tuple[str, ...]) -> None:
+    """Tables of a folder as temporary views, and functions of the engine for SQL: ``quill_words`` (words of a text), ``quill_clean_spaces``.
+    They are SQL functions, so Catalyst puts their bodies in place."""
+    from ..functions.text import WIDE_SPACES
+
+    for name in names:
+        spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(name)
+    plain = f"translate(t, '{WIDE_SPACES}', '{' ' * len(WIDE_SPACES)}')"
+    spark.sql(rf"CREATE OR REPLACE TEMPORARY FUNCTION quill_words(t STRING) RETURNS INT RETURN size(filter(split({plain}, r'\s+'), w -> w <> ''))")
+    spark.sql(rf"CREATE OR REPLACE TEMPORARY FUNCTION quill_clean_spaces(t STRING) RETURNS STRING RETURN trim(regexp_replace({plain}, r'\s+', ' '))")

@@ -154,3 +154,37 @@ def test_passes_shape_the_chunks(spark):
     spec = pipeline.Spec(("list_detect", "heading_detect", "split_semantic", "emit"), {"split_semantic": {"chunk_size": 400, "overlap": 5}})
     out = pipeline.run(spec, df).orderBy("chunk").collect()
     assert [r.text.split("\n")[0] for r in out] == ["Chapter One", "Chapter Two"]
+
+
+def test_traced_run(spark, tmp_path):
+    df = spark.createDataFrame([(1, "Some words to cut here. " * 40), (2, "Some words to cut here. " * 40), (3, None)], "doc_id long, text string")
+    spec = pipeline.Spec(("text_clean", "split_semantic", "emit"), {"split_semantic": {"chunk_size": 50, "overlap": 5}})
+    out = pipeline.run_traced(spec, df, str(tmp_path))
+    again = pipeline.replay(spec, spark, str(tmp_path), "text_clean")
+    key = lambda d: sorted((r.doc_id, r.chunk, r.text) for r in d.collect())
+    assert key(out) == key(again) == key(pipeline.run(spec, df))
+    report = __import__("json").loads(spark.read.text(str(tmp_path / "run_report")).first().value)
+    assert [p["name"] for p in report["passes"]] == list(spec.pipeline) and report["passes"][2]["rows"] == out.count() and report["versions"]["pyspark"]
+    assert pipeline.duplicates_by_pass(spec, spark, str(tmp_path))["input"] == 1
+
+
+def test_asof_and_intervals(spark):
+    from quillspark.operators import relational as J
+
+    left = spark.createDataFrame([(1, "a", 5), (2, "a", 1), (3, "b", 9), (4, "a", None), (5, None, 5)], "id long, k string, t int")
+    right = spark.createDataFrame([("a", 5, 10), ("a", 5, 11), ("a", 2, 9), ("a", None, 7), ("c", 1, 1)], "k string, t int, v int")
+    assert {r.id: r.v_asof for r in J.asof_join(left, right, ["k"], "t", ["v"]).collect()} == {1: 11, 2: None, 3: None, 4: None, 5: None}
+    points = spark.createDataFrame([(k,) for k in range(-5, 40)], "p int")
+    ranges = spark.createDataFrame([(0, 10, "x"), (9, 33, "y"), (5, 5, "none"), (-3, 1, "z"), (7, None, "open")], "a int, z int, n string")
+    got = {(r.p, r.n) for r in J.interval_join(points, ranges, "p", "a", "z", 4).collect()}
+    assert got == {(p, n) for p in range(-5, 40) for a, z, n in ((0, 10, "x"), (9, 33, "y"), (-3, 1, "z")) if a <= p < z}
+    assert J.interval_join(points.limit(0), ranges, "p", "a", "z", 4).count() == 0 and J.asof_join(left.limit(0), right, ["k"], "t", ["v"]).count() == 0
+
+
+def test_better_blocks(spark):
+    from quillspark.operators import quality as Q
+
+    kind = "doc_id long, seq int, text string"
+    own = spark.createDataFrame([(1, 0, "the badWord is here now"), (1, 1, "a clean line of text."), (2, 0, None), (3, 0, "gluedHere alone")], kind)
+    other = spark.createDataFrame([(1, 5, "the badword is here now"), (1, 6, "something else"), (2, 0, "x")], kind)
+    assert {(r.doc_id, r.seq, r.text, r.replaced) for r in Q.better_blocks(own, other).collect()} == {(1, 0, "the badword is here now", True), (1, 1, "a clean line of text.", False), (3, 0, "gluedHere alone", False)}
