@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import predicates as P
-from ..functions.text import BULLETS, lstrip, n_words, rstrip, strip
+from ..functions.text import BULLETS, let, lstrip, n_words, rstrip, strip, with_once, words
 from .merging import CARRY_ON, is_list_item, item_looks_incomplete
 
 Joins = Callable[[Column, Column], Column]
@@ -31,6 +31,11 @@ def fold_runs(rows: DataFrame, group: list[str], order: list[str], fields: dict[
     narrow = rows.where(F.col("text").isNotNull()).select(*group, *order, "text", *named)
     part = F.struct(*order, *(F.col(f"__{n}").alias(n) for n in fields), "text")
     per = narrow.groupBy(*group).agg(F.array_sort(F.collect_list(part)).alias("__x"))
+    return runs_in_rows(per, group, joins, carry).drop("before")
+
+
+def runs_in_rows(per: DataFrame, group: list[str], joins: Joins, carry: Carry) -> DataFrame:
+    """(group, run, parts, before): the runs of the array ``__x`` of each row; ``before`` is the run before it, null for the first."""
     zero = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("i"), *(first.alias(n) for n, (first, _) in carry.items()))
 
     def step(acc: Column, x: Column) -> Column:
@@ -41,7 +46,9 @@ def fold_runs(rows: DataFrame, group: list[str], order: list[str], fields: dict[
     found = per.withColumn("__s", F.aggregate("__x", zero, step, lambda acc: acc["starts"]))
     ends = found.select(*group, "__x", "__s", F.posexplode("__s").alias("run", "__at"))
     size = F.coalesce(F.get("__s", F.col("run") + 1), F.size("__x")) - F.col("__at")
-    return ends.select(*group, "run", F.slice("__x", F.col("__at") + 1, size).alias("parts"))
+    last = F.get("__s", F.col("run") - 1)
+    before = F.when(F.col("run") > 0, F.slice("__x", last + 1, F.col("__at") - last))
+    return ends.select(*group, "run", F.slice("__x", F.col("__at") + 1, size).alias("parts"), before.alias("before"))
 
 
 def joined_text(sep: str = " ") -> Column:
@@ -94,6 +101,49 @@ def semantic_chunks(rows: DataFrame, limit: int = 400, most_chars: int = 8000) -
     return runs.select("doc_id", F.col("run").alias("chunk_seq"), F.size("parts").alias("n_records"), joined_text("\n\n").alias("text"))
 
 
+def chunks_of_texts(df: DataFrame, limit: int, overlap: int, is_heading: Callable[[Column], Column], most_chars: int = 8000) -> DataFrame:
+    """(doc_id, chunk, text) of documents (doc_id, text): the rule of ``semantic_chunks`` over the lines of a text, inside its row, so that
+    nothing is shuffled and streams can use it.
+
+    Headings stay with what follows. Lines above the limit are cut into stretches of it. A chunk begins with the last ``overlap``
+    words of the one before, unless a heading begins it.
+    """
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("text"), is_heading(line).alias("heading"))), lambda line: strip(line["text"]) != "")
+
+    def cut(line: Column) -> Column:
+        stretch = lambda w: F.transform(F.sequence(F.lit(1), F.size(w), F.lit(limit)), lambda at: F.struct(F.array_join(F.slice(w, at, F.lit(limit)), " ").alias("text"), line["heading"].alias("heading")))
+        return let(words(line["text"]), lambda w: F.when(F.size(w) > limit, stretch(w)).otherwise(F.array(line)))
+
+    def fields(line: Column, i: Column) -> Column:
+        t = line["text"]
+        return F.struct(
+            i.alias("seq"), F.greatest(n_words(t), F.ceil(F.length(t) / 4.7).cast("int")).alias("n"), F.length(t).alias("chars"), F.coalesce(line["heading"], F.lit(False)).alias("heading"), is_list_item(t).alias("item"),
+            P.first_list_number(F.concat(t, F.lit(" "))).alias("number"), F.coalesce(rstrip(t).endswith(":"), F.lit(False)).alias("colon"), t.alias("text"),
+        )
+
+    def joins(acc: Column, x: Column) -> Column:
+        next_number = F.coalesce(x["number"] == acc["number"] + 1, F.lit(False))
+        list_begins = x["item"] & ~acc["item"] & ~acc["colon"] & ~next_number
+        fits = (acc["n"] + x["n"] <= limit) | (next_number & (acc["chars"] + 2 + x["chars"] <= most_chars))
+        return acc["heads"] | (~x["heading"] & ~list_begins & fits)
+
+    gathered = lambda name, gap=0: lambda acc, x, joined: F.when(joined, acc[name] + gap + x[name]).otherwise(x[name])
+    latest = lambda name: lambda acc, x, joined: x[name]
+    carry = {
+        "n": (F.lit(0), gathered("n")), "chars": (F.lit(0), gathered("chars", 2)), "item": (F.lit(False), latest("item")), "number": (F.lit(None).cast("bigint"), latest("number")),
+        "colon": (F.lit(False), latest("colon")), "heads": (F.lit(False), lambda acc, x, joined: x["heading"] & (acc["heads"] | ~joined)),
+    }
+    rows = with_once(df, "__l", F.flatten(F.transform(lines, cut)))
+    per = with_once(rows.select("doc_id", "__l"), "__x", F.transform("__l", fields)).drop("__l")
+    runs = runs_in_rows(per, ["doc_id"], joins, carry)
+    sep = lambda i: F.when(i == 0, "").when(F.get("parts", i - 1)["heading"], "\n").otherwise("\n\n")
+    text = F.array_join(F.transform("parts", lambda p, i: F.concat(sep(i), p["text"])), "")
+    if overlap > 0:
+        last = let(words(F.array_join(F.transform("before", lambda p: p["text"]), " ")), lambda w: F.array_join(F.slice(w, F.greatest(F.size(w) - overlap + 1, F.lit(1)), F.lit(overlap)), " "))
+        text = F.concat_ws(" ", F.when(F.col("before").isNotNull() & ~F.get("parts", F.lit(0))["heading"], last), text)
+    return runs.select("doc_id", F.col("run").alias("chunk"), text.alias("text"))
+
+
 def coalesce_bodies(rows: DataFrame, group: list[str], order: list[str], most: int = 650, anchor: int = 450) -> DataFrame:
     """(group, run, rows, text): blocks joined by blank lines while they stay within ``most`` characters, or within ``most`` and
     ``anchor`` behind a block below ``anchor``. Headings stay by themselves, and a block that ends in a colon begins a new one.

@@ -15,12 +15,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import predicates as P
 from ..functions import text as T
 from ..operators.emitting import rows_for_output
-from ..operators.folding import records, semantic_chunks
+from ..operators.folding import chunks_of_texts
 from ..operators.provenance import with_metadata
 from ..sources.tables import snapshot
 
@@ -73,19 +72,7 @@ def split_semantic(df: DataFrame, chunk_size: int = 400, overlap: int = 50) -> D
     ``heading_detect`` found, if it ran. Lines above the size are cut into stretches of it first, and each chunk but the first begins
     with the last ``overlap`` words of the one before, unless a heading begins it."""
     found = (lambda line: F.array_contains("headings", line)) if "headings" in df.columns else P.is_heading
-    marked = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("text"), found(line).alias("is_heading")))
-    lines = df.select("doc_id", F.posexplode(marked).alias("seq", "l")).select("doc_id", "seq", "l.text", "l.is_heading").where(T.strip(F.col("text")) != "")
-    w = T.with_once(lines, "w", T.words(F.col("text")))
-    starts = F.when(F.size("w") > chunk_size, F.sequence(F.lit(1), F.size("w"), F.lit(chunk_size))).otherwise(F.array(F.lit(1)))
-    cut = w.select("doc_id", "seq", "text", "is_heading", "w", F.posexplode(starts).alias("part", "at"))
-    piece = F.when(F.size("w") > chunk_size, F.array_join(F.slice("w", F.col("at"), F.lit(chunk_size)), " ")).otherwise(F.col("text"))
-    order = F.struct("seq", "part").alias("seq")
-    packed = semantic_chunks(records(cut.select("doc_id", order, "is_heading", piece.alias("text"))), chunk_size)
-    words = T.with_once(packed, "w", T.words(F.col("text")))
-    last = Window.partitionBy("doc_id").orderBy("chunk_seq")
-    tail = F.lag(F.array_join(F.slice("w", F.greatest(F.size("w") - overlap + 1, F.lit(1)), F.lit(max(overlap, 1))), " ")).over(last) if overlap > 0 else F.lit(None)
-    lead = F.when(~P.is_heading(F.substring_index("text", "\n", 1)), tail)
-    out = words.select("doc_id", F.col("chunk_seq").alias("chunk"), F.concat_ws(" ", lead, "text").alias("text"))
+    out = chunks_of_texts(df, chunk_size, overlap, found)
     return out.select("doc_id", "chunk", T.n_words(F.col("text")).alias("n_words"), "text")
 
 
