@@ -36,6 +36,22 @@ def compared(spark, folder, name, table):
 COMMON = [f"common{i}" for i in range(12)]
 
 
+@pytest.fixture(scope="module")
+def chunks(spark, tmp_path_factory):
+    """2,000 chunks that hold the same words, among them equal texts, an id of several rows, and rows without an id, token or text."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.sample(COMMON * 2, 20) + [f"own{i // 2}"] * (i % 3)) for i in range(2000)]
+    rows = [(i, f"b{i // 40}_p1_c{i % 40}", i % 40, t) for i, t in enumerate(texts)]
+    rows += [(7, "x_p1_c1", 1, texts[7]), (7, "y_p1_c1", 1, texts[7] + " common1"), (None, "z_p1_c1", 1, texts[100]), (8001, "z_p1_c2", 2, None), (8002, "z_p1_c3", 3, " — "), (-100, "z_p1_c4", 4, texts[100])]
+    folder = tmp_path_factory.mktemp("chunks")
+    spark.createDataFrame(rows, "row_id long, chunk_id string, chunk_seq int, text string").write.parquet(f"{folder}/epub.parquet")
+    return folder
+
+
+def test_recall_of_words_in_every_row(spark, chunks):
+    assert compared(spark, chunks, "retrieval_recall", "epub")[1] < 8 * 2000
+
+
 def test_recall_by_overlap_shuffles_texts_once(spark, tmp_path):
     rng = random.Random(3)
     texts = [" ".join(rng.choices([*COMMON, "a-b", "—", "Σας", f"own{i}"], k=1100 if i % 100 == 0 else rng.choice([30, 399, 400, 401, 550]))) for i in range(300)]
