@@ -52,6 +52,10 @@ def test_recall_of_words_in_every_row(spark, chunks):
     assert compared(spark, chunks, "retrieval_recall", "epub")[1] < 8 * 2000
 
 
+def test_best_rows_of_words_in_every_row(spark, chunks):
+    assert compared(spark, chunks, "retrieval_topk", "epub")[1] < 8 * 2000
+
+
 def test_recall_by_overlap_shuffles_texts_once(spark, tmp_path):
     rng = random.Random(3)
     texts = [" ".join(rng.choices([*COMMON, "a-b", "—", "Σας", f"own{i}"], k=1100 if i % 100 == 0 else rng.choice([30, 399, 400, 401, 550]))) for i in range(300)]
