@@ -111,21 +111,35 @@ def masked(text: Column) -> Column:
     return F.regexp_replace(clean, F.lit(mask_pattern()), F.lit(MASK))
 
 
+def placed(pieces: Column) -> Column:
+    """(sent_start, sent_end) of the pieces that hold more than white space. Both are one number until the end, since the state of an
+    aggregate is copied at each step."""
+
+    def place(acc: Column, piece: Column) -> Column:
+        end = acc["at"] + F.length(piece)
+        start, stop = end - F.length(F.ltrim(piece, F.lit(BLANKS))), acc["at"] + F.length(F.rtrim(piece, F.lit(BLANKS)))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.shiftleft(start.cast("bigint"), 32) + stop)).alias("out"))
+
+    low = F.lit(0xFFFFFFFF)
+    both = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), F.array().cast("array<bigint>").alias("out")), place, lambda acc: F.filter(acc["out"], lambda x: x.bitwiseAND(low) > F.shiftright(x, 32)))
+    return F.transform(both, lambda x: F.struct(F.shiftright(x, 32).cast("int").alias("sent_start"), x.bitwiseAND(low).cast("int").alias("sent_end")))
+
+
+def _marked(text: Column) -> Column:
+    """The masked text with a separator behind each boundary and the white space that follows it."""
+    return F.regexp_replace(masked(text), F.lit(f"(?:{boundary_pattern()})[{BLANKS}]*+"), F.lit(f"$0{SEP}"))
+
+
 def sentence_spans(text: Column) -> Column:
     """ARRAY<STRUCT<sent_start, sent_end>> of the units of a text: code points from 0, ends exclusive, in order."""
-    pieces = F.split(F.regexp_replace(masked(text), F.lit(boundary_pattern()), F.lit(f"$0{SEP}")), SEP)
-    none = F.array().cast("array<struct<sent_start:int,sent_end:int>>")
+    return placed(F.split(_marked(text), SEP))
 
-    def place(acc: Column, piece: Column) -> Column:
-        start = acc["at"] + F.length(piece) - F.length(F.ltrim(piece, F.lit(BLANKS)))
-        unit = F.struct(start.alias("sent_start"), (start + F.length(F.trim(piece, F.lit(BLANKS)))).alias("sent_end"))
-        filled = F.length(F.trim(piece, F.lit(BLANKS))) > 0
-        return F.struct(
-            (acc["at"] + F.length(piece)).alias("at"),
-            F.when(filled, F.concat(acc["out"], F.array(unit))).otherwise(acc["out"]).alias("out"),
-        )
-
-    return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("out")), place, lambda acc: acc["out"])
+
+def sentence_pieces(text: Column) -> Column:
+    """The pieces of a text that ``placed`` takes, each a unit with the white space up to the next one, to be compared with one another
+    only: terminators outside Latin-1 stand as the control characters of ``PROXY``, and private-use characters are neutral. Both are so
+    wherever the character stands, so equal stretches of two texts stay equal."""
+    return F.split(F.replace(_marked(text), F.lit(MASK), F.lit(".")), SEP)
 
 
 def sentences(df: DataFrame, id_col: str = "row_id", text_col: str = "text", with_text: bool = False) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import with_once
 from .lineage import cut
-from .sentences import sentence_spans
+from .sentences import BLANKS, placed, sentence_pieces, sentence_spans
 
 _MULTIPLIER, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -108,26 +108,30 @@ def _common_runs(a: pd.Series, at_a: pd.Series, b: pd.Series, at_b: pd.Series) -
     return pd.Series([_common_run(*row) for row in zip(a, at_a, b, at_b)], dtype="int32")
 
 
-def _reach(spans: Column, i: Column, least: int) -> Column:
-    """The end of the shortest run of whole sentences from the ``i``-th on that has ``least`` characters; null if there is none.
-    The next two sentences mostly suffice; no run needs more than ``least`` of them, since each has a character."""
+def _span_hash(spans: Column, pieces: Column, i: Column, least: int) -> Column:
+    """A hash of the shortest run of whole sentences from the ``i``-th on that has ``least`` characters; null if there is none.
+    The next two sentences mostly suffice; no run needs more than ``least`` of them, since each has a character. The run is put
+    together from its pieces: cutting it from the text would read the text from its start for each sentence."""
     start = F.get(spans, i)["sent_start"]
-    nth = lambda k: F.get(spans, i + k)["sent_end"]
-    out = F.when(nth(0) - start >= least, nth(0)).when(nth(1) - start >= least, nth(1)).when(nth(2) - start >= least, nth(2))
-    later = F.filter(F.slice(spans, i + 4, F.lit(least)), lambda u: u["sent_end"] - start >= least)
-    return out.when(i + 3 < F.size(spans), F.get(later, F.lit(0))["sent_end"])
+    bare = lambda k: F.rtrim(F.get(pieces, k), F.lit(BLANKS))
+    reaches = lambda k: F.get(spans, i + k)["sent_end"] - start >= least
+    out = F.when(reaches(0), F.xxhash64(bare(i)))
+    for k in (1, 2):
+        out = out.when(reaches(k), F.xxhash64(F.concat(*(F.get(pieces, i + j) for j in range(k)), bare(i + k))))
+    short = F.size(F.filter(F.slice(spans, i + 1, F.lit(least)), lambda u: u["sent_end"] - start < least))
+    later = F.when(i + short < F.size(spans), F.xxhash64(F.concat(F.array_join(F.slice(pieces, i + 1, short), ""), bare(i + short))))
+    return out.when(i + 3 < F.size(spans), later)
 
 
 def _class_spans(rows: DataFrame, least: int, min_chars: int) -> DataFrame:
     """(cls, part, keys, long) of each different text of (cls, part, text): the places and hashes of its spans, and the places
     and texts of its sentences of ``min_chars``. Copies of a text are put together before they are shuffled."""
-    base = with_once(rows, "s", sentence_spans(F.col("text")))
-    text = F.col("text")
-    every = F.transform("s", lambda u, i: F.struct(u["sent_start"].alias("pos"), _reach(F.col("s"), i, least).alias("stop")))
-    base = with_once(base.withColumn("r", F.col("s")), "r", F.filter(every, lambda r: r["stop"].isNotNull()))
-    keys = F.transform("r", lambda r: F.struct(r["pos"].alias("pos"), F.xxhash64(F.substring(text, r["pos"] + 1, r["stop"] - r["pos"])).alias("hash")))
-    whole = F.filter("s", lambda u: u["sent_end"] - u["sent_start"] >= min_chars)
-    long = F.transform(whole, lambda u: F.struct(u["sent_start"].alias("pos"), F.substring(text, u["sent_start"] + 1, u["sent_end"] - u["sent_start"]).alias("text")))
+    base = with_once(with_once(rows, "p", sentence_pieces(F.col("text"))).drop("text"), "s", placed(F.col("p")))
+    base = with_once(base.withColumn("u", F.col("p")), "u", F.filter(F.transform("p", lambda p: F.ltrim(p, F.lit(BLANKS))), lambda p: p != "")).drop("p")
+    every = F.transform("s", lambda u, i: F.struct(u["sent_start"].alias("pos"), _span_hash(F.col("s"), F.col("u"), i, least).alias("hash")))
+    keys = F.filter(every, lambda k: k["hash"].isNotNull())
+    placed_long = F.filter(F.transform("s", lambda u, i: F.struct(u.alias("at"), i.alias("i"))), lambda x: x["at"]["sent_end"] - x["at"]["sent_start"] >= min_chars)
+    long = F.transform(placed_long, lambda x: F.struct(x["at"]["sent_start"].alias("pos"), F.rtrim(F.get("u", x["i"]), F.lit(BLANKS)).alias("text")))
     found = base.select("cls", "part", F.struct(keys.alias("keys"), long.alias("long")).alias("f"))
     return found.groupBy("cls", "part").agg(F.first("f").alias("f")).select("cls", "part", "f.keys", "f.long")
 

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quillspark.llm import confusables, leakage, packing, spans, splitting, truncation
+from quillspark.llm import confusables, leakage, packing, sentences, spans, splitting, truncation
 
 WORDS = "amber barrel canal draft engine fabric garden hammer island jagged kettle ledger market notebook orchard pattern quarry ridge".split()
 
@@ -315,3 +315,24 @@ def test_exploded_form_is_the_same(spark):
     form = {r.doc_id: r.form for r in confusables.same_look(df).collect() if r.doc_id is not None and r.form is not None}
     assert {r.doc_id: r.form for r in confusables.exploded_form(df).collect()} == form
     assert confusables.exploded_form(df.limit(0)).count() == 0
+
+
+def test_spans_are_hashed_without_reading_the_text_again(spark):
+    """Cutting each span from the text reads the text from its start for every sentence: work in the square of its length."""
+    words = "\n\n Tom ran home. \n- one\n- two\n\nWhat… “Yes!” he said. "
+    texts = [words * 9, "x " + words * 5, "Über Nr. 5 ging er. 今日は。" + words * 3 + "a" * 250 + ". End", "  ", "A b."]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "cls long, text string").withColumn("part", F.lit(0))
+    made = spans._class_spans(rows, 80, 200)
+    assert "substring" not in made._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.cls: r for r in made.collect()}
+    known = {r.cls: [tuple(u) for u in r.s] for r in rows.select("cls", sentences.sentence_spans(F.col("text")).alias("s")).collect()}
+    by_text, by_hash = {}, {}
+    for i, t in enumerate(texts):
+        want = [(a, next((z for _, z in known[i][k:] if z - a >= 80), None)) for k, (a, _) in enumerate(known[i])]
+        want = [(a, z) for a, z in want if z]
+        assert [k.pos for k in found[i]["keys"]] == [a for a, _ in want]
+        assert [(x.pos, len(x.text)) for x in found[i]["long"]] == [(a, z - a) for a, z in known[i] if z - a >= 200]
+        for k, (a, z) in zip(found[i]["keys"], want):
+            by_text.setdefault(t[a:z], set()).add(k.hash)
+            by_hash.setdefault(k.hash, set()).add(t[a:z])
+    assert all(len(x) == 1 for x in (*by_text.values(), *by_hash.values())) and len(by_text) > 9
